@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ["heavy"]
+_MODULES = ["heavy", "catalogue", "selection"]
 
 
 def _all(name: str) -> dict:
