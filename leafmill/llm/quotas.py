@@ -95,7 +95,7 @@ def quota_sample(records: DataFrame, categories: DataFrame, size: int, seed: int
         bucket_total[r["bucket"]] = bucket_total.get(r["bucket"], 0) + r["target"]
     # A category can be given what others of its bucket lack, so its reservoir holds the bucket's share.
     capacity = {i: max(1, math.ceil(size * bucket_total[r["bucket"]] / whole) + 1) for i, r in enumerate(rows)} or {0: 1}
-    own = records.filter("id is not null").join(F.broadcast(numbered), keys).select(F.col("id").cast("long").alias("id"), "category", F.shiftrightunsigned(F.xxhash64("id", F.lit(seed)), 1).alias("priority"))
+    own = records.select("id", *keys).filter("id is not null").join(F.broadcast(numbered), keys).select(F.col("id").cast("long").alias("id"), "category", F.shiftrightunsigned(F.xxhash64("id", F.lit(seed)), 1).alias("priority"))
     state = cut(own.mapInPandas(_reservoirs(capacity), "id long, category int, priority long, n long"))
     counted = {r["category"]: r["n"] for r in state.filter("n > 0").groupBy("category").agg(F.sum("n").alias("n")).collect()}
     counts = [counted.get(i, 0) for i in range(len(rows))]

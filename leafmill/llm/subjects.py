@@ -271,10 +271,12 @@ class SubjectModel:
             if pieces:
                 rate = (step + 2) ** -0.5
                 lam = (1 - rate) * lam + rate * (0.01 + self.parts * np.concatenate(pieces, axis=1))
-        return Model(lam, terms, words, self._subjects(lam, lift), names), corpus
+        most = np.log((n_known + 1) / (size + 1))
+        return Model(lam, terms, words, self._subjects(lam, lift, most), names), corpus
 
-    def _subjects(self, lam: np.ndarray, lift: np.ndarray, top: int = 30) -> np.ndarray:
-        """The subject of each topic: that of which its top terms are most typical, if they are so by a clear measure."""
+    def _subjects(self, lam: np.ndarray, lift: np.ndarray, most: np.ndarray, top: int = 30) -> np.ndarray:
+        """The subject of each topic: that of which its top terms are most typical, if they are at least half as typical
+        (on a logarithmic scale) as terms that no other subject has."""
         out = np.full(len(lam), -1)
         if not lift.size:
             return out
@@ -282,7 +284,7 @@ class SubjectModel:
             best = np.argsort(-row)[:top]
             weight = row[best] / row[best].sum()
             typical = (np.clip(lift[:, best], 0, None) * weight).sum(1)
-            if typical.max() >= 1.2 and row.sum() > 1:
+            if typical.max() >= 0.5 * most[typical.argmax()] and row.sum() > 1:
                 out[k] = int(typical.argmax())
         return out
 
