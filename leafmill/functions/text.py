@@ -46,8 +46,13 @@ def form_score(text: Column) -> Column:
 def shingles(text: Column, width: int = 5) -> Column:
     """Distinct runs of ``width`` words of ASCII letters and digits, in lower case."""
     tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("([a-z0-9]+)"), 1)
-    n = F.size(tokens) - (width - 1)
-    return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, width), " ")))).otherwise(F.array().cast("array<string>"))
+
+    def runs(words: Column) -> Column:
+        n = F.size(words) - (width - 1)
+        return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.array_join(F.slice(words, i, width), " ")))).otherwise(F.array().cast("array<string>"))
+
+    # As the variable of an outer lambda the tokens are found once, not once per run.
+    return F.transform(F.array(tokens), runs)[0]
 
 
 def html_text(html: Column) -> Column:

@@ -72,7 +72,7 @@ def stride_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""with k as (select doc_id, n_pages as n, case when n_pages > 4 then 2 else 1 end as s from pdf_documents where n_pages > 0)
-    select distinct doc_id, page_no::int as page_no from (select doc_id, unnest(case when n <= 8 then range(1, n + 1) else list_transform(range(0, 8), lambda i: round_even(s + i * (n - s)::double / 7, 0)::bigint) end) as page_no from k)""")
+    select distinct doc_id, page_no::int as page_no from (select doc_id, unnest(case when n <= 8 then range(1, n + 1) else list_transform(range(0, 8), lambda i: s + round_even(i * (n - s)::double / 7, 0)::bigint) end) as page_no from k)""")
 def even_page_sample(spark: SparkSession, d: str) -> DataFrame:
     """At most eight pages of each document, evenly spread."""
     return table(spark, d, "pdf_documents").select("doc_id", F.explode(even_pages(F.col("n_pages"), 8)).alias("page_no"))
