@@ -47,6 +47,6 @@ def first_delivery(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 def heavy_keys(df: DataFrame, key: str, share: float, fan_in: int = 32) -> DataFrame:
     """Keys with at least the given share of all rows as delivered, with their rows; null is no key."""
-    counts = tree_aggregate(df, [key], {"n": ("count", F.lit(1))}, fan_in)
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.filter(F.col(key).isNotNull()).join(F.broadcast(total), F.col("n") >= F.lit(share) * F.col("total")).select(key, "n", "total")
+    total = df.count()
+    counts = tree_aggregate(df.filter(F.col(key).isNotNull()), [key], {"n": ("count", F.lit(1))}, fan_in)
+    return counts.filter(F.col("n") >= share * total).select(key, "n", F.lit(total).alias("total"))

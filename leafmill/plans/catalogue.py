@@ -115,7 +115,7 @@ def campaign_range(spark: SparkSession, d: str) -> DataFrame:
     """The share of dense documents as a range: opaque documents of sources planned as dense widen it, they don't move it."""
     progress = campaign_progress(spark, d)
     dense = table(spark, d, "slices").filter("lower(trim(bucket)) = 'dense'").select(source_key(F.col("source")).alias("source")).distinct().withColumn("planned", F.lit(True))
-    both = progress.join(F.broadcast(dense), "source", "left").agg(F.sum("stored").alias("stored"), F.sum("measured").alias("measured"), F.sum("dense").alias("dense"), F.sum(F.when(F.col("planned"), F.col("opaque_docs")).otherwise(0)).alias("open"))
+    both = progress.join(dense, "source", "left").agg(F.sum("stored").alias("stored"), F.sum("measured").alias("measured"), F.sum("dense").alias("dense"), F.sum(F.when(F.col("planned"), F.col("opaque_docs")).otherwise(0)).alias("open"))
     return both.select("stored", "measured", "dense", F.try_divide("dense", "measured").alias("low"), F.least(F.lit(1.0), F.try_divide(F.col("dense") + F.col("open"), F.col("measured"))).alias("high"))
 
 
@@ -144,7 +144,7 @@ def weighted_yield(spark: SparkSession, d: str) -> DataFrame:
 def yield_drift(spark: SparkSession, d: str) -> DataFrame:
     """How far the yield of a source with 20 judged documents or more is from what was planned."""
     judged = campaign_progress(spark, d).withColumn("judged", F.col("measured") - F.col("opaque_docs")).filter("judged >= 20")
-    x = judged.join(F.broadcast(_slices(spark, d).filter("not isnan(expected_dense)").groupBy("source").agg(F.try_divide(F.sum(F.col("target") * F.col("expected_dense")), F.sum("target")).alias("expected"))), "source")
+    x = judged.join(_slices(spark, d).filter("not isnan(expected_dense)").groupBy("source").agg(F.try_divide(F.sum(F.col("target") * F.col("expected_dense")), F.sum("target")).alias("expected")), "source")
     drift = F.round(F.col("dense") / F.col("judged") - F.col("expected"), 9)
     return x.select("source", "judged", drift.alias("drift"), F.when(drift <= -0.20, "under").when(drift >= 0.15, "over").otherwise("as planned").alias("verdict"))
 
@@ -153,7 +153,7 @@ def yield_drift(spark: SparkSession, d: str) -> DataFrame:
     select source, name, target, coalesce(done, 0) as done, greatest(0, round_even(target * 1.1, 0)::bigint - coalesce(done, 0)) as remaining from s left join k using (source, name)""")
 def slice_remaining(spark: SparkSession, d: str) -> DataFrame:
     done = table(spark, d, "documents").filter("status = 'stored'").groupBy(source_key(F.col("source")).alias("source"), F.col("discovery_query").alias("name")).agg(F.count("*").alias("done"))
-    x = F.broadcast(_slices(spark, d)).join(done, ["source", "name"], "left")
+    x = _slices(spark, d).join(done, ["source", "name"], "left")
     n = F.coalesce("done", F.lit(0))
     return x.select("source", "name", "target", n.alias("done"), F.greatest(F.lit(0), F.bround(F.col("target") * F.lit(1.1), 0).cast("long") - n).alias("remaining"))
 
@@ -192,8 +192,7 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
 def find_pages_page2(spark: SparkSession, d: str) -> DataFrame:
     """The second result page of 200, with the number of all hits; the limit is the feature."""
     hit = _pages(spark, d).filter(page_filter(["table", "borderless"])).select("doc_id", "page_no", "n_borderless_tables")
-    total = hit.agg(F.count("*").alias("total"))
-    return hit.orderBy("doc_id", "page_no").offset(200).limit(200).join(F.broadcast(total), how="cross")
+    return hit.orderBy("doc_id", "page_no").offset(200).limit(200).withColumn("total", F.lit(hit.count()))
 
 
 @query(f"""with {_PAGES}, j as (select * from once left join best using (doc_id, page_no))
