@@ -69,8 +69,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     docs = _stored(spark, d).select(F.col("doc_id").alias("id"), source_key(F.col("source")).alias("source"), F.col("discovery_query").alias("name"))
     n = docs.count()
     _, report = quotas.quota_sample(docs, plan, n // 5)
-    whole = report.agg(F.sum("target").alias("whole"))
-    short = report.crossJoin(F.broadcast(whole)).filter(F.col("available") < F.col("target") / F.col("whole") * F.lit(n) / 5).select(F.col("source").alias("key"), "name")
+    whole = report.agg(F.sum("target")).first()[0] or 1
+    short = report.filter(F.col("available") < F.col("target") / F.lit(whole) * F.lit(n) / 5).select(F.col("source").alias("key"), "name")
     spelled = slices.filter("target is not null").select("source", "name", source_key(F.col("source")).alias("key")).distinct()
     return spelled.join(F.broadcast(short), ["key", "name"]).select("source", "name")
 
