@@ -122,3 +122,13 @@ def test_append_new(spark):
     new = attempts.append_new(shelf, "two", old, spark.createDataFrame([(2, "q"), (3, "r")], "id long, v string"), ["id"], [F.col("v")])
     assert {tuple(r) for r in old.collect()} == {(1, "x"), (2, "z")} and {tuple(r) for r in new.collect()} == {(3, "r")}
     shelf.drop()
+
+
+def test_gates_and_plans(spark):
+    from leafmill.operators import gates
+
+    df = spark.createDataFrame([(1,), (5,), (None,), (50,)], "v int")
+    assert {r["reason"]: r["n"] for r in gates.tally(df, [("large", F.col("v") > 10), ("odd", F.col("v") % 2 == 1)]).collect()} == {"large": 1, "odd": 2, "kept": 1}
+    assert [r["v"] for r in df.filter(gates.within(F.col("v"), 2, 10)).collect()] == [5, None]
+    plan = [{"source": "a", "name": "x", "kwargs": {"years": "2020", "q": 1}}, {"source": "z", "name": "y", "kwargs": None}]
+    assert gates.plan_errors(plan, {"a": {"years"}}) == ["a/x: years must be a list", "a/x: no option q", "z/y: no such source"]
