@@ -3,8 +3,12 @@ watermarks don't take."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def timed(stream: DataFrame, column: str = "ts", late: str = "1 hour") -> DataFrame:
@@ -32,3 +36,30 @@ def new_refs(stream: DataFrame, keys: list[str], late: str = "7 days") -> DataFr
     """Discovered references as they arrive, each (source, source_id) once within the watermark; write with trigger(availableNow=True) and
     a checkpoint to work off a backlog."""
     return once(stream.withColumnRenamed("discovered_at", "ts"), keys, late)
+
+
+def stale(stream: DataFrame, key: str, begun: str, ended: str, seconds: int = 3600, late: str = "1 hour") -> DataFrame:
+    """Keys whose attempt began and didn't end within the given time, once the watermark has passed it. begun and ended are conditions
+    on a row. State per key is one time; it is dropped when the attempt ends or is reported."""
+
+    def run(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            (since,) = state.get
+            state.remove()
+            yield pd.DataFrame({key: [k[0]], "since": [pd.Timestamp(since, unit="us")]})
+            return
+        since = state.get[0] if state.exists else None
+        for rows in batches:
+            for r in rows.sort_values("ts").itertuples(index=False):
+                since = r.ts.value // 1000 if r.begun else None if r.ended else since
+        if since is None:
+            if state.exists:
+                state.remove()
+            return
+        state.update((since,))
+        # A timer must lie after the watermark; what is overdue already is reported with the next one.
+        state.setTimeoutTimestamp(max(since // 1000 + seconds * 1000, state.getCurrentWatermarkMs() + 1))
+
+    rows = timed(stream, late=late).select(key, "ts", F.coalesce(F.expr(begun), F.lit(False)).alias("begun"), F.coalesce(F.expr(ended), F.lit(False)).alias("ended"))
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, since timestamp", "since long", "append", GroupStateTimeout.EventTimeTimeout)

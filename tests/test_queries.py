@@ -4,10 +4,7 @@ from leafmill.plans import registry
 
 from .compare import same
 
-SLOW_SQL = {"shingle_overlap"}  # compared with brute force in test_operators
-
-
-@pytest.mark.parametrize("name", sorted(set(registry.oracle_sql()) - SLOW_SQL))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_same_as_sql(spark, data, name):
     same(spark, data, registry.queries()[name], registry.oracle_sql()[name])
 
