@@ -10,9 +10,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 # Thresholds of real and complex tables.
 MIN_ROWS, MIN_COLS, MAX_MEAN_CHARS, MIN_NUMERIC = 4, 3, 28, 0.15
@@ -236,3 +239,9 @@ def raster_figure(share: Column) -> Column:
 
 def is_rasterised(n_drawings: Column, n_images: Column, share: Column) -> Column:
     return ((n_drawings < FEW_DRAWINGS) & (share > SCAN_COVER)) | ((n_drawings == 0) & (n_images > 0))
+
+
+@pandas_udf(DoubleType())
+def ink_share(grey: pd.Series) -> pd.Series:
+    """The share of pixels darker than 200 of a page drawn in grey (one byte a pixel); null for none."""
+    return grey.map(lambda b: float((np.frombuffer(b, np.uint8) < 200).mean()) if b else None)

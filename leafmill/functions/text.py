@@ -87,3 +87,21 @@ def size_in_bytes(text: Column) -> Column:
 def robots_pattern(rule: Column) -> Column:
     """A path rule with * as a pattern that matches from the start."""
     return F.concat(F.lit("^"), F.replace(F.regexp_replace(rule, r"([.+?()\[\]{}|^\\])", r"\\$1"), F.lit("*"), F.lit(".*")))
+
+
+# Frequent small words of four languages.
+SMALL_WORDS = {
+    "en": ["the", "of", "and", "to", "was", "in", "is", "for", "by", "from"],
+    "fr": ["le", "la", "les", "des", "et", "du", "dans", "est", "pour", "depuis"],
+    "de": ["der", "die", "das", "und", "in", "nicht", "bei", "zwischen", "von", "wie"],
+    "es": ["el", "la", "los", "y", "del", "en", "que", "por", "desde", "una"],
+}
+
+
+def language(text: Column, least: int = 3) -> Column:
+    """"zh" for mostly Han characters, else the language with most of its small words (ties to the first of en, fr, de, es), "und" below ``least``."""
+    bare = F.coalesce(text, F.lit(""))
+    counts = [F.struct(F.regexp_count(F.lower(bare), F.lit(rf"\b(?:{'|'.join(own)})\b")).alias("n"), F.lit(-i).alias("i"), F.lit(code).alias("code")) for i, (code, own) in enumerate(SMALL_WORDS.items())]
+    best = F.array_max(F.array(*counts))
+    han = F.regexp_count(bare, F.lit(SCRIPTS["han"])) > 0.3 * F.greatest(F.length(bare), F.lit(1))
+    return F.when(han, "zh").when(best.n >= least, best.code).otherwise("und")
