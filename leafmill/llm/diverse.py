@@ -85,3 +85,34 @@ def varied_subset(items: DataFrame, size: int = 300, per_part: int = 20_000, fan
         some = cut(some)
         dealt = some.withColumn("part", F.floor(F.col("part") / fan_in).cast("int"))
         parts = math.ceil(parts / fan_in)
+
+
+def coverage(items: DataFrame, chosen: DataFrame, limit: int = 100_000) -> DataFrame:
+    """How well a subset covers the items: per item the most similar chosen one and the similarity (1: alike). chosen has the columns
+    doc_id, page_no, kinds, number, group and at most ``limit`` rows, which are collected and broadcast; items as in
+    :func:`varied_subset`. Nothing is chosen: no rows."""
+    rows = chosen.select("doc_id", "page_no", "kinds", "number", "group").orderBy("doc_id", "page_no").limit(limit + 1).toPandas()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} chosen items")
+    shared = items.sparkSession.sparkContext.broadcast(rows)
+
+    def run(batches):
+        own = shared.value
+        kinds, number, group = own["kinds"].to_numpy(np.uint64), own["number"].to_numpy(np.float64), own["group"].to_numpy()
+        known: dict[tuple, tuple[int, float]] = {}
+        for some in batches:
+            if not len(own):
+                return
+            best = []
+            for k, x, g in zip(some["kinds"].tolist(), some["number"].tolist(), some["group"].tolist()):
+                if (k, x, g) not in known:
+                    if len(known) > 1_000_000:
+                        known.clear()
+                    near = kernel(np.append(kinds, np.uint64(k)), np.append(number, float(x)), np.append(group, np.int64(g)), len(kinds), 0.0)[:-1]
+                    known[k, x, g] = (int(near.argmax()), float(near.max()))
+                best.append(known[k, x, g])
+            at = [b[0] for b in best]
+            yield pd.DataFrame({"doc_id": some["doc_id"], "page_no": some["page_no"], "by_doc_id": own["doc_id"].to_numpy()[at], "by_page_no": own["page_no"].to_numpy()[at], "similarity": [b[1] for b in best]})
+
+    whole = items.filter("doc_id is not null and page_no is not null").select("doc_id", "page_no", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("kinds", "number", "group")))
+    return whole.mapInPandas(run, "doc_id long, page_no int, by_doc_id long, by_page_no int, similarity double")

@@ -29,20 +29,34 @@ def kind_bits(column):
     return F.aggregate(F.array_distinct(F.transform(names, place)), F.lit(0).cast("long"), lambda a, x: a + F.pow(F.lit(2.0), x).cast("long"))
 
 
-def varied_pages(spark: SparkSession, d: str, size: int = 300) -> DataFrame:
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    """Measured pages, each in one measurement, with the number and kinds of what is on them."""
     measured = table(spark, d, "page_density").filter("error is null and n_borderless_tables is not null and (coalesce(table_measurable, true) or coalesce(chart_measurable, true))")
     rows = measured.select("doc_id", "page_no", F.struct("n_borderless_tables", F.coalesce("chart_kinds", F.lit("")).alias("chart_kinds")).alias("x"))
-    page = rows.groupBy("doc_id", "page_no").agg(F.max("x").alias("x")).select("doc_id", "page_no", F.col("x.n_borderless_tables").alias("number"), kind_bits(F.col("x.chart_kinds")).alias("kinds"))
-    page = cut(page)
+    return rows.groupBy("doc_id", "page_no").agg(F.max("x").alias("x")).select("doc_id", "page_no", F.col("x.n_borderless_tables").alias("number"), kind_bits(F.col("x.chart_kinds")).alias("kinds"))
+
+
+def _items(spark: SparkSession, d: str, size: int) -> DataFrame:
+    page = cut(_pages(spark, d))
     like = page.groupBy("doc_id", "kinds", "number").agg(F.min("page_no").alias("page_no"), F.count("*").alias("weight"))
     if like.limit(size).count() < size:  # too few different ones: every page takes part
         like = page.withColumn("weight", F.lit(1).cast("long"))
     source = table(spark, d, "documents").select("doc_id", F.xxhash64(source_key(F.col("source"))).alias("group"))
-    items = like.join(source, "doc_id", "left")
-    chosen = diverse.varied_subset(items, size)
+    return like.join(source, "doc_id", "left")
+
+
+def varied_pages(spark: SparkSession, d: str, size: int = 300) -> DataFrame:
+    chosen = diverse.varied_subset(_items(spark, d, size), size)
     return chosen.select("doc_id", "page_no", "kinds", F.col("number").alias("n_borderless_tables"), F.round("gain", 6).alias("gain"), "place")
 
 
+def varied_coverage(spark: SparkSession, d: str, size: int = 300) -> DataFrame:
+    """Every measured page with the chosen page that is most like it."""
+    chosen = cut(diverse.varied_subset(_items(spark, d, size), size))
+    source = table(spark, d, "documents").select("doc_id", F.xxhash64(source_key(F.col("source"))).alias("group"))
+    return diverse.coverage(_pages(spark, d).join(source, "doc_id", "left"), chosen)
+
+
 # 2 -- a sample in target proportions
 
 
@@ -170,6 +184,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_varied_pages": varied_pages,
+        "p1_coverage": varied_coverage,
         "p2_found": p2_found,
         "p2_sampled": sampled,
         "p2_report": sample_report,

@@ -67,6 +67,8 @@ def test_varied_subset(spark):
         assert len(got) == 20 == len({(r["doc_id"], r["page_no"]) for r in got})
         kinds = {(r["kinds"], r["number"], r["group"]) for r in got}
         assert len(kinds) >= 14  # of 14 different ones, all
+    near = diverse.coverage(df, diverse.varied_subset(df, 20))
+    assert near.count() == 425 and near.agg(F.min("similarity")).first()[0] > 0.99 and diverse.coverage(df, df.limit(0)).count() == 0
     assert diverse.varied_subset(df, 1000, 50, 3).count() == 425
     assert diverse.varied_subset(df.limit(0), 5).count() == 0
 
