@@ -298,7 +298,7 @@ class SubjectModel:
         return found.filter(F.col("share") >= share).join(F.broadcast(named), "number").select("doc_id", "subject", "share")
 
 
-def assign(docs: DataFrame, labels: DataFrame, subjects: DataFrame, share: float = 0.2, **settings) -> DataFrame:
+def assign(docs: DataFrame, labels: DataFrame, subjects: DataFrame, share: float = 0.17, **settings) -> DataFrame:
     """doc_id, subject, share: each subject that at least ``share`` of the sentences and lines of a document deal with.
 
     The share is set a little below a quarter, since some sentences of a subject can't be told. Documents without doc_id or
