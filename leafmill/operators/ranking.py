@@ -86,9 +86,11 @@ def coupled_caps(df: DataFrame, caps: dict[str, int], order: list[str], scope: l
 
 def capped_turns(df: DataFrame, family: str, caps: dict[str, int], total: int, order: list[str], scope: list[str]) -> DataFrame:
     """Families take turns, the one with fewest rows so far first, until ``total`` rows are chosen; rows that a cap rejects are used up. One
-    fold per scope over rows that the family cap has cut down before."""
-    most = caps.get(family, total)
-    cut = cap(df, [*scope, family], [F.col(c) for c in order], 4 * most)
+    fold per scope, over the first rows only of those that are alike in family and all capped columns: as many as the least cap. This loses
+    nothing, since caps only fill up: if one of these was rejected, or all were chosen, each later one is rejected too. Nulls of a column are
+    one value."""
+    keys = [family, *(c for c in caps if c != family)]
+    cut = cap(df, [*scope, *keys], [F.col(c).asc_nulls_last() for c in order], min(total, *caps.values()))
 
     def fold(rows: pd.DataFrame) -> pd.DataFrame:
         lanes = {f: list(x.index) for f, x in rows.sort_values(order, kind="stable").groupby(family, sort=True)}
@@ -99,7 +101,7 @@ def capped_turns(df: DataFrame, family: str, caps: dict[str, int], total: int, o
             for f in sorted(lanes, key=lambda f: (used.get((family, f), 0), f)):
                 while lanes.get(f) and len(chosen) < total:
                     i = lanes[f].pop(0)
-                    own = [(c, rows.at[i, c]) for c in {family, *caps}]
+                    own = [(c, None if pd.isna(v := rows.at[i, c]) else v) for c in keys]
                     if all(used.get(k, 0) < caps.get(k[0], total) for k in own):
                         for k in own:
                             used[k] = used.get(k, 0) + 1

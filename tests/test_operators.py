@@ -73,6 +73,28 @@ def test_capped_turns(spark):
     assert len(got) == 12 and max(Counter(r["f"] for r in got).values()) <= 5 and max(Counter(r["lang"] for r in got).values()) <= 6
 
 
+def test_capped_turns_is_that_of_an_uncut_fold(spark):
+    def uncut(rows, caps, total):
+        lanes, used, chosen = {f: sorted(r for r in rows if r[1] == f) for f in {r[1] for r in rows}}, Counter(), []
+        while len(chosen) < total and any(lanes.values()):
+            for f in sorted(lanes, key=lambda f: (used["f", f], f)):
+                while lanes[f] and len(chosen) < total:
+                    i, *own = lanes[f].pop(0)
+                    own = list(zip(("f", "dom"), own))
+                    if all(used[k] < caps[k[0]] for k in own):
+                        used.update(own)
+                        chosen.append(i)
+                        break
+        return sorted(chosen)
+
+    # One domain fills the first 30 rows of each family and holds a third of all; only the last family has rows of others.
+    rows = [(100 * k + i, f, "big") for k, f in enumerate("abc") for i in range(30)] + [(1000 + i, "c", None if i % 9 == 0 else f"d{i % 40}") for i in range(180)]
+    df = spark.createDataFrame(rows, "id long, f string, dom string").withColumn("scope", F.lit(0))
+    for caps, total in (({"f": 6, "dom": 10}, 40), ({"f": 6, "dom": 3}, 40), ({"f": 9, "dom": 2}, 5)):
+        got = sorted(r["id"] for r in ranking.capped_turns(df, "f", caps, total, ["id"], ["scope"]).collect())
+        assert got == uncut(rows, caps, total)
+
+
 @pytest.mark.parametrize("n,k,want", [(0, 3, []), (2, 3, [1, 2]), (4, 3, [1, 3, 4]), (10, 3, [2, 6, 10]), (100, 4, [2, 35, 67, 100]), (7, 1, [2])])
 def test_even_pages(spark, n, k, want):
     assert spark.range(1).select(even_pages(F.lit(n), k).alias("p")).first()["p"] == want
