@@ -13,7 +13,7 @@ class Connector:
     name: str
     shape: str  # archive, offset, cursor, window, sitemap, seeds, generated, single
     page: int = 100
-    most: int = 10_000
+    most: int = 10_000  # offset: rows that can be reached; window: records of one; seeds: pages followed of each; generated: numbers of a key; else unused
     per_second: float = 1.0
     items: str = "items"
     fields: dict = field(default_factory=lambda: {"source_id": "id", "url": "url", "license": "license"})

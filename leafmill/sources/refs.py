@@ -5,7 +5,7 @@ offsets, a window of dates, a sitemap file); what a reader doesn't do (dedupe, c
 
 Options: connector; url (a template with {offset}, {cursor}, {start}, {end}); recorded (folder of recorded answers) or user_agent; total (known
 number of records), start, end (dates), step (year, month or day), seeds (file), archives (glob), keys (values by comma per {name} of the
-template), limit (per partition), query, accept_terms.
+template; without them {number} runs from 1 to the connector's most), limit (rows per partition; all, if it isn't given), query, accept_terms.
 """
 
 from __future__ import annotations
@@ -79,8 +79,8 @@ class RefsReader(DataSourceReader):
         self.c: Connector = CONNECTORS[self.o["connector"]]
         if self.c.accept_terms and self.o.get("accept_terms", "").lower() != "true":
             raise ValueError(f"{self.c.name} asks for its terms to be accepted: option accept_terms")
-        self.limit = int(self.o.get("limit") or self.c.most)
-        if self.limit < 0:
+        self.limit = int(self.o["limit"]) if self.o.get("limit") else None
+        if self.limit is not None and self.limit < 0:
             raise ValueError("limit can't be negative")
 
     def partitions(self) -> list[InputPartition]:
@@ -191,7 +191,8 @@ class RefsReader(DataSourceReader):
 
     def _generated(self, s: dict) -> Iterator[tuple]:
         names = re.findall(r"{(\w+)}", self.o["url"])
-        for values in itertools.product(*(self.o[n].split(",") for n in names)):
+        given = lambda n: map(str, range(1, self.c.most + 1)) if n == "number" and n not in self.o else self.o[n].split(",")
+        for values in itertools.product(*map(given, names)):
             yield self._row({"id": "-".join(values), "url": self.o["url"].format(**dict(zip(names, values)))})
 
     def _single(self, s: dict) -> Iterator[tuple]:

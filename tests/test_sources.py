@@ -75,6 +75,30 @@ def test_xml_sitemap_seeds_generated_archive(spark, net, tmp_path):
     assert [r["source_id"] for r in load(spark, net, connector="govdocs1", archives=str(tmp_path / "*.zip")).collect()] == ["1"]
 
 
+def test_nothing_is_cut_without_a_limit(spark, net, tmp_path):
+    net("https://z.example/", "".join(f'<a href="{i}.pdf">x</a>' for i in range(401)).encode())
+    seeds = tmp_path / "seeds"
+    seeds.write_text("https://z.example/\n")
+    assert load(spark, net, connector="magazine_archives", seeds=str(seeds)).count() == 401
+    assert load(spark, net, connector="magazine_archives", seeds=str(seeds), limit="0").count() == 0
+    bills = {"connector": "state_bills", "url": "https://b.example/{state}/{chamber}{number}{version}.pdf", "state": "tx", "chamber": "HB,SB", "version": "I,E"}
+    assert load(spark, net, **bills).select("url").distinct().count() == 2500 * 2 * 2
+    assert load(spark, net, **bills, number=",".join(map(str, range(3000)))).count() == 3000 * 2 * 2
+    for k in range(11):
+        net(f"https://x.example/?c={k or ''}", {"items": [item(1000 * k + i) for i in range(1000)], "next": str(k + 1) if k < 10 else None})
+    pmc = {"connector": "pmc_oa", "url": "https://x.example/?c={cursor}"}
+    assert load(spark, net, **pmc).count() == 11_000 and load(spark, net, **pmc, limit="1500").count() == 1500
+
+
+def test_followed_pages_stay_bounded(spark, net, tmp_path):
+    net("https://z.example/", "".join(f'<a href="/i/{i}">x</a>' for i in range(402)).encode())
+    for i in range(402):
+        net(f"https://z.example/i/{i}", f'<a href="/{i}a.pdf">x</a><a href="/{i}b.pdf">x</a>'.encode())
+    seeds = tmp_path / "seeds"
+    seeds.write_text("https://z.example/ | | | follow=/i/\n")
+    assert load(spark, net, connector="magazine_archives", seeds=str(seeds)).count() == 800
+
+
 def test_terms_and_options(spark, net):
     for options in ({"connector": "hkex", "url": "u", "start": "2020-01-01", "end": "2020-01-02"}, {"connector": "none"}):
         with pytest.raises(Exception, match="accept|must be one"):
