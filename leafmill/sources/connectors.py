@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 class Connector:
     name: str
     shape: str  # archive, offset, cursor, window, sitemap, seeds, generated, single
-    page: int = 100
+    page: int = 100  # records of a full answer; 0: an answer is whole, however many it holds
     most: int = 10_000  # offset: rows that can be reached; window: records of one; seeds: pages followed of each; generated: numbers of a key; else unused
     per_second: float = 1.0
     items: str = "items"
@@ -35,7 +35,7 @@ CONNECTORS = _make(
         ("arxiv", "offset", {"page": 100, "per_second": 0.34, "most": 30_000, "xml": "entry"}),
         ("pmc_oa", "cursor", {"page": 1000, "per_second": 2.5, "most": 9_999}),
         ("govinfo", "sitemap", {"per_second": 0.8, "licence": "public-domain", "most": 1_000_000}),
-        ("sec_edgar", "window", {"per_second": 1.5, "most": 1_000_000}),
+        ("sec_edgar", "window", {"page": 0, "per_second": 1.5, "most": 1_000_000}),
         ("bis", "sitemap", {"licence": "non-commercial", "most": 1_000_000}),
         ("boe", "seeds", {}),
         ("boj", "seeds", {}),
@@ -44,8 +44,8 @@ CONNECTORS = _make(
         ("worldbank", "offset", {"page": 100, "per_second": 2.0, "most": 100_000}),
         ("ntrs", "window", {"page": 100, "per_second": 0.5, "most": 10_000}),
         ("fraser", "sitemap", {"per_second": 0.1, "most": 1_000_000}),
-        ("municipal_acfr", "window", {"most": 1_000_000}),
-        ("edinet", "window", {"licence": "pdl-1.0", "most": 1_000_000}),
+        ("municipal_acfr", "window", {"page": 0, "most": 1_000_000}),
+        ("edinet", "window", {"page": 0, "licence": "pdl-1.0", "most": 1_000_000}),
         ("dailymed", "offset", {"page": 100, "per_second": 2.0, "licence": "public-domain", "most": 1_000_000}),
         ("eric", "offset", {"page": 200, "per_second": 2.0, "most": 1_000_000}),
         ("hkex", "window", {"accept_terms": True, "most": 10_000}),

@@ -3,9 +3,10 @@
 One reader per shape of paging; the connectors differ in configuration. A partition is one slice of the source (an archive, a range of
 offsets, a window of dates, a sitemap file); what a reader doesn't do (dedupe, caps, quotas, turns) are DataFrame operators.
 
-Options: connector; url (a template with {offset}, {cursor}, {start}, {end}); recorded (folder of recorded answers) or user_agent; total (known
+Options: connector; url (a template with {offset}, {cursor}, {start}, {end}; windows may have {offset} too); recorded (folder of recorded answers) or user_agent; total (known
 number of records), start, end (dates), step (year, month or day), seeds (file), archives (glob), keys (values by comma per {name} of the
-template; without them {number} runs from 1 to the connector's most), limit (rows per partition; all, if it isn't given), query, accept_terms.
+template; without them {number} runs from 1 to the connector's most), limit (rows per partition; all, if it isn't given), page (records
+of a full answer within a window, if the URL asks for another number than the connector's; 0: an answer is whole), query, accept_terms.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import glob
 import io
 import itertools
 import json
+import math
 import re
 import urllib.parse
 import xml.etree.ElementTree as ET
@@ -82,6 +84,9 @@ class RefsReader(DataSourceReader):
         self.limit = int(self.o["limit"]) if self.o.get("limit") else None
         if self.limit is not None and self.limit < 0:
             raise ValueError("limit can't be negative")
+        self.page = int(self.o.get("page") or self.c.page)
+        if self.page < 0:
+            raise ValueError("page can't be negative")
 
     def partitions(self) -> list[InputPartition]:
         o, c = self.o, self.c
@@ -152,16 +157,28 @@ class RefsReader(DataSourceReader):
                 return
 
     def _window(self, s: dict) -> Iterator[tuple]:
-        transport = self._transport()
+        """A window's pages by offset, if the URL has one, to its total or (without total) to a page that isn't full. A window that can't be
+        had whole, as it holds more than the source's most or than one answer without offset, is halved; if it is a single day, that is an
+        error."""
+        transport, url = self._transport(), self.o["url"]
+        get = lambda low, high, offset: self._records(transport.get(url.format(start=low, end=high, offset=offset)))
         todo = [(date.fromisoformat(s["start"]), date.fromisoformat(s["end"]))]
-        while todo:  # a window that holds more than the source gives is halved
+        while todo:
             low, high = todo.pop()
-            found, answer = self._records(transport.get(self.o["url"].format(start=low, end=high)))
-            if int(answer.get("total", len(found))) > len(found) and low < high:
+            found, answer = get(low, high, 0)
+            total = int(answer["total"]) if answer.get("total") is not None else None
+            rows, enough = list(found), math.inf if self.limit is None else self.limit
+            more = lambda: len(rows) < total if total is not None else 0 < self.page <= len(found)  # noqa: E731, B023
+            while "{offset}" in url and found and more() and max(len(rows), total or 0) <= self.c.most and len(rows) < min(self.c.most, enough):
+                found, _ = get(low, high, len(rows))
+                rows += found
+            if more() and len(rows) < enough:
+                if low == high:
+                    raise ValueError(f"{self.c.name}: {low} alone holds more records than can be had: {len(rows)} of {'an unknown number' if total is None else total}")
                 middle = low + (high - low) // 2
                 todo += [(low, middle), (middle + timedelta(1), high)]
                 continue
-            yield from (self._row(r, window=f"{low}/{high}") for r in found)
+            yield from (self._row(r, window=f"{low}/{high}") for r in rows)
 
     def _sitemap(self, s: dict) -> Iterator[tuple]:
         for e in from_xml(self._transport().get(s["url"]), "url"):

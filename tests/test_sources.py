@@ -57,6 +57,48 @@ def test_windows_are_halved(spark, net):
     assert sorted(r["source_id"] for r in df.collect()) == ["1", "2", "3"]
 
 
+def test_windows_are_paged(spark, net):
+    u, day = "https://x.example/{start}_{end}?o={offset}", "2020-01-01"
+    ids = lambda **o: sorted(int(r["source_id"]) for r in load(spark, net, **({"url": u, "start": day, "end": day} | o)).collect())
+    for k in (0, 100, 200):
+        net(u.format(start=day, end=day, offset=k), {"items": [item(i) for i in range(k, min(k + 100, 230))], "total": 230})
+    assert ids(connector="ntrs") == list(range(230)) and ids(connector="ntrs", limit="120") == list(range(120))
+    # Without a total: to a page that isn't full; a full one may also be the last.
+    v = "https://y.example/{start}_{end}?o={offset}"
+    for k, n in ((0, 2000), (2000, 2000), (4000, 0)):
+        net(v.format(start=day, end=day, offset=k), {"items": [item(i) for i in range(k, k + n)]})
+    assert ids(connector="eurlex", url=v) == list(range(4000))
+    # An answer that is whole, however many records it holds.
+    w = "https://w.example/{start}_{end}"
+    net(w.format(start=day, end=day), {"items": [item(i) for i in range(300)]})
+    assert ids(connector="edinet", url=w) == list(range(300))
+
+
+def test_windows_beyond_the_limit_of_the_source(spark, net):
+    u, days = "https://x.example/{start}_{end}?o={offset}", ("2020-01-01", "2020-01-02")
+    read = lambda **o: load(spark, net, **({"connector": "ntrs", "url": u, "start": days[0], "end": days[1]} | o))
+    net(u.format(start=days[0], end=days[1], offset=0), {"items": [item(i) for i in range(100)], "total": 10_001})
+    for k, day in enumerate(days):
+        for o in (0, 100):
+            net(u.format(start=day, end=day, offset=o), {"items": [item(1000 * k + i) for i in range(o, min(o + 100, 150))], "total": 150})
+    assert sorted(int(r["source_id"]) for r in read(start=days[0], step="month").collect()) == [*range(150), *range(1000, 1150)]
+    net(u.format(start=days[1], end=days[1], offset=0), {"items": [item(i) for i in range(100)], "total": 10_001})
+    with pytest.raises(Exception, match="2020-01-02 alone holds more"):
+        read().collect()
+    # Without an offset and a total nobody knows whether a full answer is all.
+    v = "https://y.example/{start}_{end}"
+    net(v.format(start=days[0], end=days[1]), {"items": [item(i) for i in range(100)]})
+    net(v.format(start=days[0], end=days[0]), {"items": [item(i) for i in range(60)]})
+    net(v.format(start=days[1], end=days[1]), {"items": [item(i) for i in range(60, 130)]})
+    assert read(url=v).count() == 130
+    net(v.format(start=days[1], end=days[1]), {"items": [item(i) for i in range(60, 160)]})
+    with pytest.raises(Exception, match="alone holds more"):
+        read(url=v).collect()
+    net(v.format(start=days[1], end=days[1]), {"items": [item(i) for i in range(60, 160)], "total": 101})
+    with pytest.raises(Exception, match="100 of 101"):
+        read(url=v).collect()
+
+
 def test_xml_sitemap_seeds_generated_archive(spark, net, tmp_path):
     net("https://x.example/?o=0", b'<feed xmlns="urn:a"><entry><id>e1</id><url>https://h.example/e1.pdf</url></entry></feed>')
     assert load(spark, net, connector="arxiv", url="https://x.example/?o={offset}").first()["source_id"] == "e1"
