@@ -61,14 +61,19 @@ class Mix:
         self.plan = []
         for r in plan:
             wanted, capacity = r["weight"] * self.total, r["tokens"] * max(0, r["max_repeats"])
-            self.plan.append((r["source"], r["name"], r["weight"], r["max_repeats"], r["tokens"], wanted, min(wanted, float(capacity)), capacity < wanted))
+            self.plan.append((r["source"], r["name"], r["weight"], r["max_repeats"], r["tokens"], wanted, min(wanted, float(capacity))))
 
     def _table(self) -> DataFrame:
-        return self.spark.createDataFrame(self.plan, "source string, name string, weight double, max_repeats int, tokens long, wanted double, quota double, short boolean")
+        return self.spark.createDataFrame(self.plan, "source string, name string, weight double, max_repeats int, tokens long, wanted double, quota double")
+
+    def _reached(self) -> DataFrame:
+        """The targets with what the mixture uses of each: a source is short whose uses, after all repeats, don't reach its weight."""
+        used = self.chosen().groupBy("source").agg(F.sum("n_tokens").alias("used"), F.count("*").alias("uses"))
+        return self._table().join(used, "source", "left").fillna(0, ["used", "uses"]).withColumn("short", F.col("used") < F.col("wanted"))
 
     def short(self) -> DataFrame:
-        """Sources (as spelled in the targets) that can't give their weight."""
-        return self._table().filter("short").select(F.col("name").alias("source"), "weight", "max_repeats", "tokens", "wanted")
+        """Sources (as spelled in the targets) that don't give their weight in the mixture."""
+        return self._reached().filter("short").select(F.col("name").alias("source"), "weight", "max_repeats", "tokens", "wanted")
 
     def chosen(self) -> DataFrame:
         """One row per use of a text: doc_id, source, repeat (from 1), n_tokens, block (within the source), slot (place of the block
@@ -93,7 +98,5 @@ class Mix:
 
     def shares(self) -> DataFrame:
         """Per source: weight, tokens, quota, tokens used and the real share."""
-        used = self.chosen().groupBy("source").agg(F.sum("n_tokens").alias("used"), F.count("*").alias("uses"))
-        both = self._table().join(used, "source", "left").fillna(0, ["used", "uses"])
         whole = Window.partitionBy()  # one row per source, bounded by the targets
-        return both.select(F.col("name").alias("source"), "weight", "max_repeats", "tokens", "used", "uses", F.try_divide("used", F.sum("used").over(whole)).alias("real_share"), "short")
+        return self._reached().select(F.col("name").alias("source"), "weight", "max_repeats", "tokens", "used", "uses", F.try_divide("used", F.sum("used").over(whole)).alias("real_share"), "short")

@@ -289,6 +289,14 @@ def test_mixture(spark):
         used[r["source"]] += r["n_tokens"]
     assert abs(used["big"] - 0.6 * total) < 50 and abs(used["small_one"] - 0.3 * total) < 50 and used["tiny"] == 12
     assert abs(sum(r["real_share"] for r in mix.shares().collect()) - 1) < 1e-9
+
+    class Once(mixing.Mix):
+        def chosen(self):
+            return super().chosen().filter("repeat = 1")
+
+    # Short is what the mixture falls short of, not what the sums of the sources would.
+    assert {r["source"] for r in Once(df, targets, slots=200).short().collect()} == {"big", "Small_One", "tiny"}
+    assert mixing.Mix(df.limit(0), targets).short().count() == 0
     assert mixing.Mix(df.limit(0), targets).chosen().count() == 0 and mixing.Mix(df, targets.limit(0)).chosen().count() == 0
 
 
