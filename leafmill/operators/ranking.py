@@ -58,10 +58,12 @@ def split_quota(counts: list[int], total: int) -> list[int]:
     return quotas
 
 
-def take_quotas(df: DataFrame, key: str, quotas: dict[str, int], order: list) -> DataFrame:
-    """The first rows of each slice, as many as its quota (one row a slice: small, broadcast)."""
-    table = df.sparkSession.createDataFrame(list(quotas.items()), f"{key} string, __quota long")
-    return df.join(F.broadcast(table), key).withColumn("__place", _place([key], order)).filter("__place <= __quota").drop("__place", "__quota")
+def take_quotas(df: DataFrame, key: str, quotas: dict[str | None, int], order: list) -> DataFrame:
+    """The first rows of each slice, as many as its quota (one row a slice: small, broadcast). Rows with a null in the key are a slice
+    too, with the quota of None."""
+    table = df.sparkSession.createDataFrame(list(quotas.items()), "__key string, __quota long")
+    found = df.join(F.broadcast(table), F.col(key).eqNullSafe(F.col("__key")))
+    return found.withColumn("__place", _place([key], order)).filter("__place <= __quota").select(key, *(c for c in df.columns if c != key))
 
 
 def coupled_caps(df: DataFrame, caps: dict[str, int], order: list[str], scope: list[str]) -> DataFrame:

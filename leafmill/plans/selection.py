@@ -87,7 +87,7 @@ def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def quota_split(spark: SparkSession, d: str) -> DataFrame:
-    """Half of the stored documents, split evenly over sources as far as they have any."""
+    """Half of the stored documents, split evenly over sources as far as they have any; those without source are one source."""
     rows = _docs(spark, d).filter("status = 'stored'").select("doc_id", "source")
     counts = rows.groupBy("source").count().orderBy("source").limit(10_000).collect()
     quotas = ranking.split_quota([r["count"] for r in counts], sum(r["count"] for r in counts) // 2)

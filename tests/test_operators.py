@@ -50,6 +50,22 @@ def test_split_quota(counts, total):
     assert sum(quotas) == min(total, sum(counts)) and all(q <= n for q, n in zip(quotas, counts))
 
 
+def test_take_quotas_with_a_null_slice(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else "ab"[i % 4 // 2]) for i in range(40)], "id long, k string")
+    got = ranking.take_quotas(df, "k", {None: 7, "a": 3, "b": 0}, [F.col("id")])
+    assert got.columns == ["k", "id"] and sorted(r["id"] for r in got.collect()) == [0, 1, 3, 4, 5, 7, 8, 9, 11, 13]
+
+
+def test_quota_split_with_documents_of_no_source(spark, tmp_path):
+    from leafmill.plans import registry
+
+    df = spark.createDataFrame([(i, "stored", ("A", None, " a", "b")[i % 4]) for i in range(80)], "doc_id long, status string, source string")
+    other = {c: F.lit(None).cast("string") for c in ("domain", "url", "discovery_query", "sha256", "discovered_at")}
+    df.withColumns(other).write.parquet(str(tmp_path / "documents.parquet"))
+    got = Counter(r["source"] for r in registry.queries()["quota_split"](spark, str(tmp_path)).collect())
+    assert sum(got.values()) == 40 and got[None] > 0
+
+
 def test_cap_first_seen_and_turns(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2], i % 3) for i in range(12)] + [(99, None, 0), (100, None, 0)], "id long, k string, t int")
     assert max(Counter(r["k"] for r in ranking.cap(df, ["k"], [F.col("id")], 2).collect()).values()) == 2
