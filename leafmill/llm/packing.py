@@ -50,12 +50,12 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
         whole = (values * (k + 1)) % capacity == 0
         part = np.where(whole, values * k, (values * (k + 1)) // capacity * capacity)
         best = max(best, -(-int((part * counts).sum()) // (k * capacity)))
-    for e in values[values <= capacity // 2]:
-        scaled = np.where(values > capacity - e, capacity, np.where(values < e, 0, values))
-        best = max(best, -(-int((scaled * counts).sum()) // capacity))
-        if len(values) > 600 and e > values[600]:  # further e change the bound of one partition only
-            break
-    return best
+    # Every e up to half the capacity: between two sizes the bound only grows with e, so the sizes and the half itself are enough.
+    e = np.append(values[values <= capacity // 2], capacity // 2)
+    number, volume = np.append(0, np.cumsum(counts)), np.append(0, np.cumsum(values * counts))
+    low, high = np.searchsorted(values, e, "left"), np.searchsorted(values, capacity - e, "right")
+    scaled = volume[high] - volume[low] + capacity * (number[-1] - number[high])
+    return max(best, -(-int(scaled.max()) // capacity))
 
 
 def _pack(capacity: int):
@@ -107,7 +107,14 @@ def pack(sizes: DataFrame, capacity: int = 4096, items_per_part: int = 20_000, r
 
 
 def report(packed: DataFrame, capacity: int = 4096) -> DataFrame:
-    """One row: containers, items, tokens, the least possible number by volume, and the share of unused space."""
+    """One row: containers, items, tokens, the least possible number by volume, the share of unused space, and per part that was packed on
+    its own its containers and the bound for its items (parts that were taken apart keep their full containers)."""
+
+    def bounds(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "bins": rows["container"].nunique(), "bound": lower_bound(rows["tokens"].to_numpy(), capacity)})
+
+    part = F.substring_index("container", "-", 1).cast("long").alias("part")
+    parts = packed.select("container", "tokens", part).groupBy("part").applyInPandas(bounds, "part long, bins long, bound long").agg(F.array_sort(F.collect_list(F.struct("part", "bins", "bound"))).alias("parts"))
     bins = packed.groupBy("container").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("items"))
     out = bins.agg(F.count("*").alias("containers"), F.coalesce(F.sum("items"), F.lit(0)).alias("items"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.max("tokens").alias("fullest"))
-    return out.select("*", F.ceil(F.col("tokens") / capacity).alias("least"), F.round(1 - F.try_divide("tokens", F.col("containers") * capacity), 6).alias("unused"))
+    return out.select("*", F.ceil(F.col("tokens") / capacity).alias("least"), F.round(1 - F.try_divide("tokens", F.col("containers") * capacity), 6).alias("unused")).crossJoin(parts)

@@ -233,6 +233,25 @@ def test_lower_bound_sees_large_items():
     assert packing.lower_bound(np.array([51] * 7), 100) == 7 and packing.lower_bound(np.array([34] * 9), 100) == 5
 
 
+def test_lower_bound_tries_every_size():
+    # 700 small sizes, then large ones that fit with none of 2,000 and more: only an e beyond the 601st size shows it.
+    sizes = np.concatenate([np.arange(1, 701), np.full(900, 2000), np.full(900, 2097)])
+    assert packing.lower_bound(sizes, 4096) >= 900 + 900 * 2000 / 4096
+    rng = np.random.default_rng(3)
+    for sizes in (sizes, rng.integers(1, 4097, 5000), rng.integers(1, 60, 50), np.array([2048] * 3), np.array([5])):
+        slow = max(-(-int(np.where(sizes > 4096 - e, 4096, np.where(sizes < e, 0, sizes)).sum()) // 4096) for e in range(1, 2049))
+        low = packing.lower_bound(sizes, 4096)
+        assert slow <= low <= len(packing.best_fit(np.sort(sizes)[::-1], 4096)[1])
+
+
+def test_report_has_the_bound_of_each_part(spark):
+    df = spark.createDataFrame([(i, 1 + i * i % 97) for i in range(300)], "doc_id long, n_tokens long")
+    packed = packing.pack(df, 100, items_per_part=60)
+    row = packing.report(packed, 100).first()
+    assert sum(p["bins"] for p in row["parts"]) == row["containers"] and all(0 < p["bound"] <= p["bins"] for p in row["parts"])
+    assert len(row["parts"]) == len({r["container"].split("-")[0] for r in packed.collect()}) and sum(p["bound"] for p in row["parts"]) >= row["least"]
+
+
 def test_packing(spark):
     rng = random.Random(5)
     rows = [(i, rng.choice([0, None, 1, 40, 51, 99, 100, 101, 250, rng.randrange(1, 100)])) for i in range(500)]
