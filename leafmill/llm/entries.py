@@ -20,20 +20,36 @@ def _stored(spark: SparkSession, d: str) -> DataFrame:
 # 1 -- a varied subset
 
 
-def kind_bits(column):
-    """A set of chart kinds as bits: the known kinds have one each, further ones share the rest by hash."""
-    known = ["bar", "line", "pie", "mixed"]
-    names = F.filter(F.transform(F.split(F.lower(F.coalesce(column, F.lit(""))), ","), lambda x: F.trim(x)), lambda x: x != "")
-    place = lambda x: F.when(F.array_position(F.array(*map(F.lit, known)), x) > 0, F.array_position(F.array(*map(F.lit, known)), x) - 1).otherwise(F.pmod(F.hash(x), F.lit(58)) + 4)
+KNOWN_KINDS = ["bar", "line", "pie", "mixed"]
+
+
+def kind_names(column):
+    """The chart kinds named in a list by comma."""
+    return F.filter(F.transform(F.split(F.lower(F.coalesce(column, F.lit(""))), ","), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def further_kinds(df: DataFrame, column: str, most: int = 58) -> list[str]:
+    """Kinds that occur besides the known ones, in order; an error if there are more than have a bit."""
+    names = df.select(column).distinct().select(F.explode(kind_names(F.col(column))).alias("name")).filter(~F.col("name").isin(KNOWN_KINDS))
+    found = sorted(r["name"] for r in names.distinct().limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"more than {most} chart kinds besides {', '.join(KNOWN_KINDS)}")
+    return found
+
+
+def kind_bits(column, further: list[str]):
+    """A set of chart kinds as bits: the known kinds come first, then the further ones that occur, each with a bit of its own."""
+    own = F.array(*map(F.lit, KNOWN_KINDS + further))
+    places = F.transform(kind_names(column), lambda x: F.array_position(own, x) - 1)
     # sum of powers of two over distinct places
-    return F.aggregate(F.array_distinct(F.transform(names, place)), F.lit(0).cast("long"), lambda a, x: a + F.pow(F.lit(2.0), x).cast("long"))
+    return F.aggregate(F.array_distinct(places), F.lit(0).cast("long"), lambda a, x: a + F.pow(F.lit(2.0), x).cast("long"))
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
     """Measured pages, each in one measurement, with the number and kinds of what is on them."""
     measured = table(spark, d, "page_density").filter("error is null and n_borderless_tables is not null and (coalesce(table_measurable, true) or coalesce(chart_measurable, true))")
     rows = measured.select("doc_id", "page_no", F.struct("n_borderless_tables", F.coalesce("chart_kinds", F.lit("")).alias("chart_kinds")).alias("x"))
-    return rows.groupBy("doc_id", "page_no").agg(F.max("x").alias("x")).select("doc_id", "page_no", F.col("x.n_borderless_tables").alias("number"), kind_bits(F.col("x.chart_kinds")).alias("kinds"))
+    return rows.groupBy("doc_id", "page_no").agg(F.max("x").alias("x")).select("doc_id", "page_no", F.col("x.n_borderless_tables").alias("number"), kind_bits(F.col("x.chart_kinds"), further_kinds(measured, "chart_kinds")).alias("kinds"))
 
 
 def _items(spark: SparkSession, d: str, size: int) -> DataFrame:

@@ -73,6 +73,19 @@ def test_varied_subset(spark):
     assert diverse.varied_subset(df.limit(0), 5).count() == 0
 
 
+def test_further_chart_kinds_have_a_bit_each(spark, tmp_path):
+    def pages(n, name):
+        rows = [(i, 1, None, 0, f"Kind {i}, bar", True, True) for i in range(n)] + [(1000, 1, None, 0, "kind 0 ,BAR,bar", True, True), (1001, 1, None, 0, None, True, True)]
+        spark.createDataFrame(rows, "doc_id long, page_no int, error string, n_borderless_tables int, chart_kinds string, table_measurable boolean, chart_measurable boolean").write.parquet(str(tmp_path / name / "page_density.parquet"))
+        return {r["doc_id"]: r["kinds"] for r in entries._pages(spark, str(tmp_path / name)).collect()}
+
+    got = pages(58, "a")
+    assert len({got[i] for i in range(58)}) == 58 and all(got[i] > 0 and got[i] & 1 and got[i].bit_count() == 2 for i in range(58))
+    assert got[1000] == got[0] and got[1001] == 0
+    with pytest.raises(ValueError, match="more than 58 chart kinds"):
+        pages(59, "b")
+
+
 # -- 2
 
 
