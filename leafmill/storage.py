@@ -18,13 +18,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Where it is unset (one machine, as in tests) a temporary folder is made
-    once, set as the checkpoint folder and removed at exit."""
+    """The folder named by spark.checkpoint.dir. Where it is unset and the session runs on one machine (master local), as in tests, a temporary
+    folder is made once, set as the checkpoint folder and removed at exit; on a cluster that is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(named)
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         path = tempfile.mkdtemp(prefix="leafmill-")
@@ -41,14 +44,16 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 class Shelf:
-    """Parquet tables of one run in the shared folder, to be dropped together or one by one."""
+    """Parquet tables of one run in the shared folder, to be dropped together or one by one. With a ``path`` they are kept there, for
+    other runs to find."""
 
-    def __init__(self, spark: SparkSession, kind: str):
+    def __init__(self, spark: SparkSession, kind: str, path: str | None = None):
         self.spark = spark
-        self.path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+        self.path = path.rstrip("/") if path else f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
-    def put(self, name: str, df: DataFrame, **options: str) -> DataFrame:
-        df.write.options(**options).mode("overwrite").parquet(f"{self.path}/{name}")
+    def put(self, name: str, df: DataFrame, by: tuple[str, ...] = (), **options: str) -> DataFrame:
+        writer = df.write.options(**options).mode("overwrite")
+        (writer.partitionBy(*by) if by else writer).parquet(f"{self.path}/{name}")
         return self.get(name, df.schema)
 
     def get(self, name: str, schema=None) -> DataFrame:
