@@ -80,9 +80,22 @@ def words_of(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         yield codes, first, end, hashes, np.searchsorted(first, borders)
 
 
-def runs_of(texts: list[str], width: int = 5) -> Iterator[tuple[int, np.uint64, np.ndarray]]:
+def suffix_keys(words: np.ndarray, width: int = 5) -> np.ndarray:
+    """Of each run of ``width`` word hashes 48 bits in the order of the words: equally many leading bits of each word, the first word
+    first. Sorting by these keys sorts the suffixes that begin there by their words."""
+    each, more = divmod(48, width)
+    n = len(words) - width + 1
+    keys = np.zeros(max(n, 0), np.uint64)
+    for k in range(width if n > 0 else 0):
+        bits = each + (k < more)
+        keys = (keys << np.uint64(bits)) | (words[k : n + k] >> np.uint64(64 - bits))
+    return keys
+
+
+def runs_of(texts: list[str], width: int = 5, keys: bool = False) -> Iterator[tuple]:
     """Of each text: its number of words, a hash of its sequence of words, and the sorted distinct hashes of all runs
-    of ``width`` words in a row. Words are the runs of letters and digits of the lower-cased text."""
+    of ``width`` words in a row; with ``keys`` also the suffix key of each of these. Words are the runs of letters and digits of the
+    lower-cased text."""
     for _, _, _, words, at in words_of([t.lower() for t in texts]):
         n = len(words)
         if n >= width:
@@ -90,15 +103,17 @@ def runs_of(texts: list[str], width: int = 5) -> Iterator[tuple[int, np.uint64,
             for k in range(width):
                 runs = runs * _CHAR + words[k : n - width + 1 + k]
             runs = mix(runs)
+        places = suffix_keys(words, width) if keys else None
         power = _powers(max(n, 1), _WORD, "word_power")
         for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
             whole = np.uint64((words[a:b] * power[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a)) if b > a else np.uint64(0)
-            if b - a >= width:
-                own = runs[a : b - width + 1].copy()
-                own.sort()
-                keep = np.ones(len(own), bool)
-                np.not_equal(own[1:], own[:-1], out=keep[1:])
-                own = own[keep]
-            else:
-                own = np.zeros(0, np.uint64)
-            yield b - a, whole, own
+            if b - a < width:
+                none = np.zeros(0, np.uint64)
+                yield (b - a, whole, none, none) if keys else (b - a, whole, none)
+                continue
+            own = runs[a : b - width + 1]
+            order = np.argsort(own) if keys else None
+            own = own[order] if keys else np.sort(own)
+            keep = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=keep[1:])
+            yield (b - a, whole, own[keep], places[a : b - width + 1][order][keep]) if keys else (b - a, whole, own[keep])

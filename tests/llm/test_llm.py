@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from leafmill.llm import caps, diverse, entries, history, mixing, packing, quotas, subjects, tokens, topn
+from leafmill.llm import caps, diverse, entries, history, mixing, packing, quotas, subjects, suffixes, tokens, topn, wordruns
 from leafmill.llm.wordruns import runs_of
 from leafmill.storage import table
 
@@ -202,31 +202,70 @@ def fixture(n=260, seed=4):
     return rows
 
 
-@pytest.mark.parametrize("how", [{}, {"hits_per_entry": 0.0, "hits_free": 300, "depth": 2}])
+def day_frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, discovered_at timestamp, sha256 string, text string")
+
+
+SMALL = {"similarity": 0.6, "counters": 1 << 12, "entries_per_shard": 900, "text_per_shard": 9000}
+
+
+@pytest.mark.parametrize("how", [{"least": 90}, {"least": 150, "hits_per_entry": 0.0, "hits_free": 300, "depth": 2}])
 def test_repeats_are_those_of_brute_force(spark, how):
     rows = fixture()
-    df = spark.createDataFrame(rows, "doc_id long, discovered_at timestamp, sha256 string, text string").withColumn("ts", F.lit("clash")).repartition(5)
-    got = {(r["doc_id"], r["partner"]) for r in history.repeats(df, (0.2, 0.5, 1.0), similarity=0.6, counters=1 << 12, bits=1 << 10, entries_per_shard=2000, **how).collect()}
+    df = day_frame(spark, rows).withColumn("ts", F.lit("clash")).repartition(5)
+    got = {(r["doc_id"], r["partner"]) for r in history.repeats(df.unionByName(df.limit(20)), **SMALL, **how).collect()}
     assert got == brute_force([(i, t and t.timestamp(), s, x) for i, t, s, x in rows]) and len(got) > 100
 
 
 def test_repeats_of_nothing(spark):
-    df = spark.createDataFrame([(1, None, None, None), (2, None, None, "")], "doc_id long, discovered_at timestamp, sha256 string, text string")
-    assert history.repeats(df).count() == 0
-
-
-def test_segments_stay_few(spark):
-    rows = [r for r in fixture(120, 9) if r[0] is not None and r[1] is not None]
-    df = spark.createDataFrame(rows, "doc_id long, discovered_at timestamp, sha256 string, text string")
-    index = history.HistoryIndex(spark, 0.6, counters=1 << 12, bits=1 << 10)
-    got = set()
-    for k in range(5):
-        day = F.dayofyear("discovered_at")
-        batch = df.filter((day > 2 * k) & (day <= 2 * k + 2)).select("doc_id", F.unix_micros("discovered_at").alias("ts"), history.clean_sha(F.col("sha256")).alias("sha"), "text").filter("length(text) > 0")
-        got |= {(r["doc_id"], r["partner"]) for r in index.add(batch).collect()}
-    levels = [max(n, 1).bit_length() // 2 for _, n in index.segments]
-    assert len(levels) == len(set(levels)) < 5
-    assert got == brute_force([(i, t.timestamp(), s, x) for i, t, s, x in rows])
+    df = day_frame(spark, [(1, None, None, None), (2, None, None, "")])
+    assert history.repeats(df).count() == 0 and history.repeats(df.limit(0)).count() == 0
+
+
+def test_day_by_day_in_two_sessions(spark, tmp_path):
+    """A small first day, then ever more days, half of them by an index that is opened anew; segments are merged, and the order of the runs is measured anew."""
+    rows = sorted((r for r in fixture(150, 9) if r[0] is not None and r[1] is not None), key=lambda r: r[1])
+    df = day_frame(spark, rows).select("doc_id", F.unix_micros("discovered_at").alias("ts"), history.clean_sha(F.col("sha256")).alias("sha"), "text").filter("length(text) > 0")
+    stamps = [r[1].timestamp() * 1e6 for r in rows]
+    edges = [0, stamps[4], stamps[20], stamps[45], stamps[60], stamps[90], stamps[110], stamps[-1]]
+    path, got, orders = f"file://{tmp_path}/index", set(), set()
+    index = history.HistoryIndex(spark, path=path, fan_in=2, regrow=4, **SMALL)
+    for k, (low, high) in enumerate(zip(edges, edges[1:])):
+        if k == 3:
+            index = history.HistoryIndex.open(spark, path)
+        got |= {(r["doc_id"], r["partner"]) for r in index.add(df.filter((F.col("ts") > low) & (F.col("ts") <= high))).collect()}
+        orders.add(index.order)
+    assert got == brute_force([(i, t.timestamp(), s, x) for i, t, s, x in rows]) == {(r["doc_id"], r["partner"]) for r in index.rejected().collect()}
+    assert len(index.segments) < 4 and len(orders) > 1 and max(s["bits"] for s in index.segments) > 0
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcd"), min_size=5, max_size=30), min_size=1, max_size=6))
+def test_suffixes_lie_in_order_of_their_words(texts):
+    (n, _, runs, keys), = list(runs_of([" ".join(w for t in texts for w in t)], 5, True))
+    assert len(runs) == len(keys) and (np.unique(keys) == np.sort(keys)).all()
+    words = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 40, np.uint64)) * np.uint64(2)
+    assert (np.diff(wordruns.suffix_keys(words).astype(np.int64)) >= 0).all()
+
+
+def test_suffix_and_text_files(tmp_path):
+    rng = np.random.default_rng(2)
+    folder = f"file://{tmp_path}/a"
+    cls, n = rng.integers(0, 1 << 63, 50, np.uint64), rng.integers(1, 99, 50).astype(np.int32)
+    key = np.sort(rng.integers(0, 1 << 48, 3000, np.uint64))
+    own = (cls, n, key, rng.integers(0, 50, 3000).astype(np.uint32), rng.integers(0, 255, 3000).astype(np.uint8))
+    assert (suffixes.from_six(suffixes.six(key)) == key).all()
+    rows = lambda s: sorted(zip(s[2].tolist(), s[0][s[3]].tolist(), s[1][s[3]].tolist(), s[4].tolist()))
+    for shard in range(4):
+        suffixes.write_suffixes(folder, shard, suffixes.part_of(own, shard, 2))
+    for bits in (0, 2, 4):
+        found = [x for shard in range(1 << bits) for x in suffixes.read_range(folder, 2, shard, bits)]
+        assert sorted(r for x in found for r in rows(x)) == rows(own)
+    texts = {int(c): f"text {c}\x00 é" * int(k) for c, k in zip(cls, n)}
+    suffixes.write_texts(folder, 0, list(texts.items()))
+    some = np.sort(np.append(cls[:7], np.uint64(5)))
+    assert suffixes.read_texts(folder, 0, some) == {int(c): texts[int(c)].replace("\x00", " ") for c in cls[:7]} and len(suffixes.read_texts(folder, 0)) == 50
+    assert suffixes.read_texts(folder, 9) == {} and not len(suffixes.read_suffixes(folder, 9)[2])
 
 
 # -- 7
