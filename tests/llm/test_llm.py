@@ -206,7 +206,7 @@ def day_frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, discovered_at timestamp, sha256 string, text string")
 
 
-SMALL = {"similarity": 0.6, "counters": 1 << 12, "entries_per_shard": 900, "text_per_shard": 9000}
+SMALL = {"similarity": 0.6, "counters": 1 << 12, "entries_per_shard": 900, "text_per_file": 4000}
 
 
 @pytest.mark.parametrize("how", [{"least": 90}, {"least": 150, "hits_per_entry": 0.0, "hits_free": 300, "depth": 2}])
