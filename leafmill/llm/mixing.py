@@ -45,8 +45,8 @@ class Mix:
     max_repeats don't suffice gives all it has, and is named by :meth:`short`.
     """
 
-    def __init__(self, sizes: DataFrame, targets: DataFrame, total: int | None = None, slots: int = 4096, limit: int = 10_000, seed: int = 7):
-        self.spark, self.slots, self.seed = sizes.sparkSession, slots, seed
+    def __init__(self, sizes: DataFrame, targets: DataFrame, total: int | None = None, slots: int | None = None, limit: int = 10_000, seed: int = 7):
+        self.spark, self.seed = sizes.sparkSession, seed
         self.sizes = cut(sizes.select("doc_id", source_key(F.col("source")).alias("source"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")))
         rows = targets.filter("source is not null").limit(limit + 1).collect()
         if len(rows) > limit:
@@ -57,6 +57,7 @@ class Mix:
         have = used.join(F.broadcast(keyed.select("source")), "source").groupBy("source").agg(F.sum("n_tokens").alias("tokens"))
         everything = self.sizes.agg(F.sum("n_tokens")).first()[0] or 0
         self.total = everything if total is None else total
+        self.slots = slots or min(1 << 20, max(4096, self.total >> 24))  # blocks of 16 million tokens, but never fewer than 4,096 nor over a million of them
         plan = keyed.join(have, "source", "left").select("source", "name", "weight", "max_repeats", F.coalesce("tokens", F.lit(0)).alias("tokens"), F.lit(self.total).cast("long").alias("total")).collect()
         self.plan = []
         for r in plan:

@@ -106,15 +106,21 @@ def pack(sizes: DataFrame, capacity: int = 4096, items_per_part: int = 20_000, r
     return everything.select("doc_id", "piece", "pieces", "tokens", F.concat_ws("-", "part", "bin").alias("container"), "fill")
 
 
-def report(packed: DataFrame, capacity: int = 4096) -> DataFrame:
-    """One row: containers, items, tokens, the least possible number by volume, the share of unused space, and per part that was packed on
-    its own its containers and the bound for its items (parts that were taken apart keep their full containers)."""
+def certificates(packed: DataFrame, capacity: int = 4096) -> DataFrame:
+    """Per part that was packed on its own: its containers, the bound for its items by dual feasible functions, and whether they meet, so that no packing of
+    these items needs fewer (parts that were taken apart keep their full containers, which always meet the bound)."""
 
     def bounds(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"part": rows["part"].iloc[:1], "bins": rows["container"].nunique(), "bound": lower_bound(rows["tokens"].to_numpy(), capacity)})
+        bins, bound = rows["container"].nunique(), lower_bound(rows["tokens"].to_numpy(), capacity)
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "items": len(rows), "tokens": int(rows["tokens"].sum()), "bins": bins, "bound": bound, "certified": bins == bound})
 
     part = F.substring_index("container", "-", 1).cast("long").alias("part")
-    parts = packed.select("container", "tokens", part).groupBy("part").applyInPandas(bounds, "part long, bins long, bound long").agg(F.array_sort(F.collect_list(F.struct("part", "bins", "bound"))).alias("parts"))
-    bins = packed.groupBy("container").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("items"))
-    out = bins.agg(F.count("*").alias("containers"), F.coalesce(F.sum("items"), F.lit(0)).alias("items"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.max("tokens").alias("fullest"))
-    return out.select("*", F.ceil(F.col("tokens") / capacity).alias("least"), F.round(1 - F.try_divide("tokens", F.col("containers") * capacity), 6).alias("unused")).crossJoin(parts)
+    return packed.select("container", "tokens", part).groupBy("part").applyInPandas(bounds, "part long, items long, tokens long, bins long, bound long, certified boolean")
+
+
+def report(packed: DataFrame, capacity: int = 4096) -> DataFrame:
+    """One row: containers, items, tokens, the least possible number by volume, the sum of the parts' bounds, parts, certified parts, and the share of unused space."""
+    parts = certificates(packed, capacity)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    out = parts.agg(F.coalesce(F.sum("bins"), F.lit(0)).alias("containers"), total("items"), total("tokens"), total("bound"), F.count("*").alias("parts"), F.count_if("certified").alias("certified"))
+    return out.select("*", F.ceil(F.col("tokens") / capacity).alias("least"), F.round(1 - F.try_divide("tokens", F.col("containers") * capacity), 6).alias("unused"))

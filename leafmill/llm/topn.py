@@ -4,28 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def _stream(group: str, item: str, n: int):
-    """Over rows sorted by group and rank: the first n distinct items of each group. Only the present group's chosen items
-    are remembered, at most n of them."""
+    """Over rows sorted by group and rank: the first n distinct items of each group, by operations on whole batches. Of the group that a batch
+    ends in, the items chosen so far (at most n) go before the next batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now: object = run
-        taken: list = []
+        taken = None
         for batch in batches:
-            keep = []
-            for i, (g, x) in enumerate(zip(batch.column(group).to_pylist(), batch.column(item).to_pylist())):
-                if g != now or now is run:
-                    now, taken = g, []
-                if len(taken) < n and x not in taken:
-                    taken.append(x)
-                    keep.append(i)
-            if keep:
-                yield batch.take(pa.array(keep))
+            rows = pd.DataFrame({"g": batch.column(group).to_pandas(types_mapper=pd.ArrowDtype), "x": batch.column(item).to_pandas(types_mapper=pd.ArrowDtype)})
+            before = len(taken) if taken is not None else 0
+            if before:
+                rows = pd.concat([taken, rows], ignore_index=True)
+            if not len(rows):
+                continue
+            g, new = rows["g"], ~rows.duplicated().to_numpy()
+            other = (g != g.shift()).fillna(False).to_numpy(bool) | (g.isna() != g.isna().shift()).to_numpy(bool)
+            other[0] = True
+            so_far = np.cumsum(new)
+            starts = np.flatnonzero(other)
+            place = so_far - np.repeat(so_far[starts] - new[starts], np.diff(np.append(starts, len(rows))))
+            keep = np.flatnonzero(new & (place <= n))
+            taken = rows.iloc[keep[keep >= starts[-1]]]
+            own = keep[keep >= before] - before
+            if len(own):
+                yield batch.take(pa.array(own))
 
     return run
 
