@@ -52,25 +52,20 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("doc_id", "page_no").agg(F.max("x").alias("x")).select("doc_id", "page_no", F.col("x.n_borderless_tables").alias("number"), kind_bits(F.col("x.chart_kinds"), further_kinds(measured, "chart_kinds")).alias("kinds"))
 
 
-def _items(spark: SparkSession, d: str, size: int) -> DataFrame:
-    page = cut(_pages(spark, d))
-    like = page.groupBy("doc_id", "kinds", "number").agg(F.min("page_no").alias("page_no"), F.count("*").alias("weight"))
-    if like.limit(size).count() < size:  # too few different ones: every page takes part
-        like = page.withColumn("weight", F.lit(1).cast("long"))
+def _items(spark: SparkSession, d: str) -> DataFrame:
     source = table(spark, d, "documents").select("doc_id", F.xxhash64(source_key(F.col("source"))).alias("group"))
-    return like.join(source, "doc_id", "left")
+    return _pages(spark, d).join(source, "doc_id", "left")
 
 
 def varied_pages(spark: SparkSession, d: str, size: int = 300) -> DataFrame:
-    chosen = diverse.varied_subset(_items(spark, d, size), size)
+    chosen = diverse.varied_subset(_items(spark, d), size)
     return chosen.select("doc_id", "page_no", "kinds", F.col("number").alias("n_borderless_tables"), F.round("gain", 6).alias("gain"), "place")
 
 
 def varied_coverage(spark: SparkSession, d: str, size: int = 300) -> DataFrame:
     """Every measured page with the chosen page that is most like it."""
-    chosen = cut(diverse.varied_subset(_items(spark, d, size), size))
-    source = table(spark, d, "documents").select("doc_id", F.xxhash64(source_key(F.col("source"))).alias("group"))
-    return diverse.coverage(_pages(spark, d).join(source, "doc_id", "left"), chosen)
+    items = _items(spark, d)
+    return diverse.coverage(items, cut(diverse.varied_subset(items, size)))
 
 
 # 2 -- a sample in target proportions
@@ -80,8 +75,7 @@ def _sample(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFram
     slices = table(spark, d, "slices").select("source", "name", "target", F.lower(F.trim("bucket")).alias("bucket")).distinct()
     plan = slices.select(source_key(F.col("source")).alias("source"), "name", "target", "bucket")
     docs = _stored(spark, d).select(F.col("doc_id").alias("id"), source_key(F.col("source")).alias("source"), F.col("discovery_query").alias("name"))
-    size = docs.count() // 5
-    chosen, report = quotas.quota_sample(docs, plan, size)
+    chosen, report = quotas.quota_sample(docs, plan, docs.count() / 5)
     return chosen, report, slices
 
 
@@ -90,17 +84,13 @@ def sampled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sample_report(spark: SparkSession, d: str) -> DataFrame:
-    return _sample(spark, d)[1]
+    return _sample(spark, d)[1].withColumn("wanted", F.round("wanted", 6))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    slices = table(spark, d, "slices").select("source", "name", "target", F.lower(F.trim("bucket")).alias("bucket")).distinct()
-    plan = slices.select(source_key(F.col("source")).alias("source"), "name", "target", "bucket")
-    docs = _stored(spark, d).select(F.col("doc_id").alias("id"), source_key(F.col("source")).alias("source"), F.col("discovery_query").alias("name"))
-    n = docs.count()
-    _, report = quotas.quota_sample(docs, plan, n // 5)
-    whole = report.agg(F.sum("target")).first()[0] or 1
-    short = report.filter(F.col("available") < F.col("target") / F.lit(whole) * F.lit(n) / 5).select(F.col("source").alias("key"), "name")
+    """The slices that the drawn sample reports as short, as spelled in the plan."""
+    _, report, slices = _sample(spark, d)
+    short = report.filter("short").select(F.col("source").alias("key"), "name")
     spelled = slices.filter("target is not null").select("source", "name", source_key(F.col("source")).alias("key")).distinct()
     return spelled.join(F.broadcast(short), ["key", "name"]).select("source", "name")
 

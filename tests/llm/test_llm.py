@@ -73,6 +73,17 @@ def test_varied_subset(spark):
     assert diverse.varied_subset(df.limit(0), 5).count() == 0
 
 
+def test_core_sets_are_as_varied_as_one_choice(spark, data):
+    """The determinant of the set from core-sets, against that of a greedy choice over all rows by one task."""
+    items = entries._items(spark, data.replace("sf0.001", "sf0.01"))
+    logs = []
+    for per_part in (1_000_000, 200):
+        rows = diverse.varied_subset(items, 60, per_part, 4).collect()
+        kinds, number, group = np.array([r["kinds"] for r in rows], np.uint64), np.array([r["number"] for r in rows], float), np.array([r["group"] for r in rows])
+        logs.append(np.linalg.slogdet(np.array([diverse.kernel(kinds, number, group, i) for i in range(60)]))[1])
+    assert logs[1] >= logs[0] - 0.02 * abs(logs[0])
+
+
 def test_further_chart_kinds_have_a_bit_each(spark, tmp_path):
     def pages(n, name):
         rows = [(i, 1, None, 0, f"Kind {i}, bar", True, True) for i in range(n)] + [(1000, 1, None, 0, "kind 0 ,BAR,bar", True, True), (1001, 1, None, 0, None, True, True)]
@@ -98,7 +109,16 @@ def test_quotas_are_feasible(rows, size):
     if size:
         assert all(x >= 1 for x, n in zip(q, counts) if n)
     if size and all(n >= size for n in counts):
-        assert abs(sum(q) - size) <= len(q)
+        assert sum(q) == max(size, len(q))
+
+
+def test_quotas_add_up_although_each_has_a_minimum():
+    q = quotas.feasible([1] * 100 + [900], ["a"] * 101, [5] * 100 + [1000], 150)
+    assert sum(q) == 150 and q[:100] == [1] * 100
+    q = quotas.feasible([1] * 100 + [900], ["a"] * 100 + ["b"], [5] * 100 + [1000], 150)
+    assert sum(q) == 150 and min(q) == 1
+    assert sum(quotas.feasible([1] * 100 + [900], ["a"] * 101, [5] * 100 + [1000], 100)) == 101  # one of each is more than the size
+    assert quotas.feasible([7, 2, 1], ["a"] * 3, [1000] * 3, 100) == [70, 20, 10]
 
 
 def test_quota_sample(spark):
@@ -110,6 +130,10 @@ def test_quota_sample(spark):
     got = Counter(r["name"] for r in sample.collect())
     assert got == {"a": 25, "b": 25, "c": 2}
     assert {r["name"]: r["short"] for r in report.collect()} == {"a": False, "b": False, "c": True, "d": True}
+    assert all(r["sampled"] == r["quota"] for r in report.collect())
+    big = spark.range(60_000).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("name"))
+    some, _ = quotas.quota_sample(big, plan, 1000)
+    assert Counter(r["name"] for r in some.collect()) == {"a": 250, "b": 250}
     again, _ = quotas.quota_sample(df.repartition(3), plan, 100)
     assert {r["id"] for r in again.collect()} == {r["id"] for r in sample.collect()}
     assert quotas.quota_sample(df.limit(0), plan, 10)[0].count() == 0 and quotas.quota_sample(df, plan.limit(0), 10)[0].count() == 0
@@ -299,9 +323,9 @@ def test_lower_bound_tries_every_size():
 def test_report_has_the_bound_of_each_part(spark):
     df = spark.createDataFrame([(i, 1 + i * i % 97) for i in range(300)], "doc_id long, n_tokens long")
     packed = packing.pack(df, 100, items_per_part=60)
-    row = packing.report(packed, 100).first()
-    assert sum(p["bins"] for p in row["parts"]) == row["containers"] and all(0 < p["bound"] <= p["bins"] for p in row["parts"])
-    assert len(row["parts"]) == len({r["container"].split("-")[0] for r in packed.collect()}) and sum(p["bound"] for p in row["parts"]) >= row["least"]
+    row, parts = packing.report(packed, 100).first(), packing.certificates(packed, 100).collect()
+    assert sum(p["bins"] for p in parts) == row["containers"] and all(0 < p["bound"] <= p["bins"] and p["certified"] == (p["bound"] == p["bins"]) for p in parts)
+    assert len(parts) == len({r["container"].split("-")[0] for r in packed.collect()}) == row["parts"] and row["containers"] >= row["bound"] >= row["least"]
 
 
 def test_packing(spark):
