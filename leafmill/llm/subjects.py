@@ -243,8 +243,8 @@ class SubjectModel:
         rows = bits.orderBy(F.xxhash64("doc_id"), "doc_id").limit(self.label_rows).select("doc_id", "bits", (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(self.hold)) == 0).alias("held")).collect()
         return {r["doc_id"]: r["bits"] for r in rows if not r["held"]}, {r["doc_id"]: r["bits"] for r in rows if r["held"]}
 
-    def fit(self, docs: DataFrame, known: dict[int, int], subjects: DataFrame) -> tuple[Model, Shelf]:
-        """The model, and a shelf with the documents as term lists ("corpus") for :meth:`shares`."""
+    def fit(self, docs: DataFrame, known: dict[int, int], subjects: DataFrame) -> tuple[Model, DataFrame, Shelf]:
+        """The model, the documents as term lists for :meth:`shares`, and the shelf that these lie on."""
         spark = docs.sparkSession
         broadcast = spark.sparkContext.broadcast
         rows = subjects.filter("subject is not null").select("subject", "description").distinct().orderBy("subject").limit(10_000).collect()
@@ -301,7 +301,7 @@ class SubjectModel:
                 rate = (step + 2) ** -0.5
                 lam = (1 - rate) * lam + rate * (0.01 + self.parts * np.concatenate(pieces, axis=1))
         most = np.log((n_known + 1) / (size + 1))
-        return Model(lam, words, self._subjects(lam, lift, most), names), shelf
+        return Model(lam, words, self._subjects(lam, lift, most), names), corpus, shelf
 
     def _sums(self, part: DataFrame, topics, fan_in: int = 32) -> list:
         """Expected term counts over a part of the corpus, added up in rounds of at most ``fan_in`` tasks."""
@@ -362,8 +362,8 @@ def assign(docs: DataFrame, labels: DataFrame, subjects: DataFrame, share: float
     if len(names) > 63:
         raise ValueError("more than 63 subjects")
     known, held = own.labelled(labels, names)
-    model, shelf = own.fit(docs, known, subjects)
-    shares = cut(own.shares(model, shelf.get("corpus")))
+    model, corpus, shelf = own.fit(docs, known, subjects)
+    shares = cut(own.shares(model, corpus))
     shelf.drop()
     named = spark.createDataFrame(list(enumerate(model.names)), "number int, subject string")
     given = share if share is not None else best_share(shares, held)
