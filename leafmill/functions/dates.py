@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,17 +35,30 @@ def quarters_begun(spark: SparkSession, first_year: int, today: str) -> DataFram
     )
 
 
-def bisected(spark: SparkSession, counts: str, most: int) -> DataFrame:
-    """Windows [low, high] of days halved until none holds more than ``most`` rows or it is one day. counts: a view of (day, n)."""
-    return spark.sql(
-        f"""with recursive w(low, high, n) as (
-                select min(day), max(day), sum(n) from {counts}
-                union all
-                select h.low, h.high, h.n from (
-                    select half.low, half.high, (select sum(n) from {counts} c where c.day between half.low and half.high) as n
-                    from w lateral view explode(array(
-                        named_struct('low', w.low, 'high', date_add(w.low, cast(floor(datediff(w.high, w.low) / 2) as int))),
-                        named_struct('low', date_add(w.low, cast(floor(datediff(w.high, w.low) / 2) as int) + 1), 'high', w.high))) t as half
-                    where w.n > {most} and w.low < w.high) h)
-            select low, high, n from w where n <= {most} or low = high"""
-    )
+def months(spark: SparkSession, first: str, last: str) -> DataFrame:
+    """Calendar months from first to last as (start, end), both inclusive, the outer ones cut to the range."""
+    return spark.sql(f"select greatest(m, date'{first}') as start, least(last_day(m), date'{last}') as end from (select explode(sequence(trunc(date'{first}', 'MM'), date'{last}', interval 1 month)) as m)")
+
+
+def years_half_open(spark: SparkSession, first: str, last: str) -> DataFrame:
+    """Calendar years as [start, end), the last one ending on the day after last."""
+    return spark.sql(f"select greatest(make_date(y, 1, 1), date'{first}') as start, least(make_date(y + 1, 1, 1), date_add(date'{last}', 1)) as end from (select explode(sequence(year(date'{first}'), year(date'{last}'))) as y)")
+
+
+def bisected(counts: DataFrame, share: float, limit: int = 100_000) -> DataFrame:
+    """Windows [low, high] of days halved until none holds more than the share of all rows or it is one day. counts: (day, n), at most ``limit`` days (more are an error); the halves
+    are found on sums up to each day, taken once. No days: no windows."""
+    spark = counts.sparkSession
+    rows = counts.orderBy("day").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} days")
+    days, sums = [r["day"].toordinal() for r in rows], [0, *itertools.accumulate(r["n"] for r in rows)]
+    within = lambda low, high: sums[bisect.bisect_right(days, high)] - sums[bisect.bisect_left(days, low)]
+    most, todo, out = max(1, int(sums[-1] * share)), [(days[0], days[-1])] if days else [], []
+    while todo:
+        low, high = todo.pop()
+        if within(low, high) <= most or low == high:
+            out.append((date.fromordinal(low), date.fromordinal(high), within(low, high)))
+        else:
+            todo += [(low, low + (high - low) // 2), (low + (high - low) // 2 + 1, high)]
+    return spark.createDataFrame(out, "low date, high date, n long")

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 #: Fixed value: a number as it stands in a cell, with currency, brackets and up to three letters behind.
 NUMERIC = r"^[\s(\[]*[-+$€£¥]?\s*\d[\d,.\s]*\s*[%)\]a-zA-Z]{0,3}\s*$"
-SCRIPTS = {"latin": r"[A-Za-zÀ-ɏ]", "greek": r"[Ͱ-Ͽ]", "cyrillic": r"[Ѐ-ӿ]", "arabic": r"[؀-ۿ]", "han": r"[一-鿿]"}
-# Fixed values of the form score: pattern and weight of each sign, and the most that count.
+#: Letters of scripts other than Latin, in the order in which they are tried, and from which share of all letters on.
+SCRIPTS = {"ar": "[\u0600-\u06ff]", "cjk": "[\u4e00-\u9fff]", "ja": "[\u3040-\u30ff]", "ko": "[\uac00-\ud7af]", "el": "[\u0370-\u03ff]", "cy": "[\u0400-\u04ff]", "hi": "[\u0900-\u097f]", "he": "[\u0590-\u05ff]", "th": "[\u0e00-\u0e7f]"}
+SCRIPT_SHARE = 0.3
+# Fixed values of the form score: pattern and weight of each sign, and the most that count; key phrases count once each.
 FILL, BOX, LABEL = r"_{3,}|\.{6,}|…{2,}", r"[☐☑☒□■▢◻◼○●]|\[\s?\]|\(\s?\)", r"^\s*[A-Z][A-Za-z /&().'-]{1,40}:\s*$"
-WEIGHTS = {"fills": (0.08, 20), "boxes": (0.06, 20), "labels": (0.04, 20)}
+PHRASES = r"(?i)\b(signature|date signed|print name|name of|address|city|state|zip|telephone|phone|ssn|social security|ein|employer identification|omb no|form [a-z]?-?\d|part [ivx]+\b|section [a-z\d]\b|check (?:one|all|the box|if)|yes\s+no|for office use|applicant|signature of|title|amount|total)\b"
+WEIGHTS = {"fills": (0.08, 20), "boxes": (0.06, 20), "phrases": (0.09, 15), "labels": (0.04, 20)}
+SHORT_LINE, PROSE_LINE = (4, 0.8), (14, -1.2)
 
 
 def words(text: Column) -> Column:
@@ -23,8 +27,14 @@ def is_numeric(text: Column) -> Column:
     return F.trim(text).rlike(NUMERIC)
 
 
-def script_counts(text: Column) -> dict[str, Column]:
-    return {name: F.regexp_count(F.coalesce(text, F.lit("")), F.lit(p)) for name, p in SCRIPTS.items()}
+def script(text: Column) -> Column:
+    """The first script other than Latin that has more than three tenths of the letters, else "latin"; "none" without letters."""
+    letters = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}]+", "")
+    least = F.length(letters) * SCRIPT_SHARE
+    out = F.when(letters == "", "none")
+    for name, pattern in SCRIPTS.items():
+        out = out.when(F.regexp_count(letters, F.lit(pattern)) > least, name)
+    return out.otherwise("latin")
 
 
 def filled_lines(text: Column) -> Column:
@@ -32,15 +42,22 @@ def filled_lines(text: Column) -> Column:
 
 
 def form_score(text: Column) -> Column:
-    """How much a text reads like a form: blanks to fill, boxes, labels and short lines speak for it, lines of prose against. 0 without lines."""
-    lines = filled_lines(text)
-    n = F.size(lines)
-    count = lambda p: F.regexp_count(F.coalesce(text, F.lit("")), F.lit(p))
-    labels = F.size(F.filter(lines, lambda x: x.rlike(LABEL)))
-    short = F.size(F.filter(lines, lambda x: words(x) <= 4))
-    prose = F.size(F.filter(lines, lambda x: words(x) >= 14))
-    parts = [F.least(c, F.lit(WEIGHTS[k][1])) * WEIGHTS[k][0] for k, c in (("fills", count(FILL)), ("boxes", count(BOX)), ("labels", labels))]
-    return F.when(n == 0, 0.0).otherwise(parts[0] + parts[1] + parts[2] + F.try_divide(short, n) * 0.8 - F.try_divide(prose, n) * 1.2)
+    """How much a text reads like a form: blanks to fill, boxes, key phrases, labels and short lines speak for it, lines of prose against. 0 without lines.
+    Lines are split once and their words counted once."""
+    bare = F.coalesce(text, F.lit(""))
+
+    def score(lines: Column) -> Column:
+        phrases = F.size(F.array_distinct(F.transform(F.regexp_extract_all(bare, F.lit(PHRASES), 1), lambda x: F.lower(x))))
+        labels = F.size(F.filter(lines, lambda x: x.rlike(LABEL)))
+        signs = {"fills": F.regexp_count(bare, F.lit(FILL)), "boxes": F.regexp_count(bare, F.lit(BOX)), "phrases": phrases, "labels": labels}
+        total = F.lit(0.0)
+        for name, (weight, most) in WEIGHTS.items():
+            total = total + F.least(signs[name], F.lit(most)) * weight
+        # The shares of short lines and of lines of prose from one pass over the numbers of words.
+        share = F.aggregate(F.transform(lines, words), F.lit(0.0), lambda a, n: a + F.when(n <= SHORT_LINE[0], SHORT_LINE[1]).when(n >= PROSE_LINE[0], PROSE_LINE[1]).otherwise(0.0))
+        return F.when(F.size(lines) == 0, 0.0).otherwise(total + F.try_divide(share, F.size(lines)))
+
+    return F.transform(F.array(filled_lines(text)), score)[0]
 
 
 def shingles(text: Column, width: int = 5) -> Column:
@@ -87,21 +104,3 @@ def size_in_bytes(text: Column) -> Column:
 def robots_pattern(rule: Column) -> Column:
     """A path rule with * as a pattern that matches from the start."""
     return F.concat(F.lit("^"), F.replace(F.regexp_replace(rule, r"([.+?()\[\]{}|^\\])", r"\\$1"), F.lit("*"), F.lit(".*")))
-
-
-# Frequent small words of four languages.
-SMALL_WORDS = {
-    "en": ["the", "of", "and", "to", "was", "in", "is", "for", "by", "from"],
-    "fr": ["le", "la", "les", "des", "et", "du", "dans", "est", "pour", "depuis"],
-    "de": ["der", "die", "das", "und", "in", "nicht", "bei", "zwischen", "von", "wie"],
-    "es": ["el", "la", "los", "y", "del", "en", "que", "por", "desde", "una"],
-}
-
-
-def language(text: Column, least: int = 3) -> Column:
-    """"zh" for mostly Han characters, else the language with most of its small words (ties to the first of en, fr, de, es), "und" below ``least``."""
-    bare = F.coalesce(text, F.lit(""))
-    counts = [F.struct(F.regexp_count(F.lower(bare), F.lit(rf"\b(?:{'|'.join(own)})\b")).alias("n"), F.lit(-i).alias("i"), F.lit(code).alias("code")) for i, (code, own) in enumerate(SMALL_WORDS.items())]
-    best = F.array_max(F.array(*counts))
-    han = F.regexp_count(bare, F.lit(SCRIPTS["han"])) > 0.3 * F.greatest(F.length(bare), F.lit(1))
-    return F.when(han, "zh").when(best.n >= least, best.code).otherwise("und")

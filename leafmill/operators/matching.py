@@ -33,7 +33,7 @@ def longest_prefix(df: DataFrame, column: str, names: DataFrame, limit: int = 10
     return df.withColumn("name", out if out is not None else F.lit(None).cast("string"))
 
 
-def shingle_overlap(texts: DataFrame, bench: DataFrame, least: int = 20, threshold: float = 0.2, most_common: float = 1.0) -> DataFrame:
+def shingle_overlap(texts: DataFrame, bench: DataFrame, least: int = 20, threshold: float = 0.2) -> DataFrame:
     """Pairs (doc_id, item_id) of near texts: the runs of five words that both have, over the fewer of the two, at least threshold, with at
     least ``least`` runs each. Both: id column first, then text. Runs meet by an equi-join on their hash."""
     side = lambda df, key, name: df.select(F.col(df.columns[0]).alias(key), shingles(F.col(df.columns[1])).alias("s")).filter(F.size("s") >= least).select(key, F.size("s").alias(name), F.explode(F.transform("s", lambda x: F.xxhash64(x))).alias("run"))

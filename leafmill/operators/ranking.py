@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.storage import cut
+
 
 def _place(keys: list, order: list, name: str = "place") -> Column:
     return F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).alias(name)
@@ -29,11 +31,23 @@ def cap(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
     return df.withColumn("__place", _place(keys, order)).filter(F.col("__place") <= n).drop("__place")
 
 
+def spread_places(df: DataFrame, keys: list[str], order: list, name: str = "place") -> DataFrame:
+    """The place of every row among those of its keys, also where one key holds most rows: rows are divided into ranges of the order, each range numbers
+    its own rows of a key, and what the ranges before hold of it is added. Only the counts (one row per range and key) meet by key. A null key is a key."""
+    ranged = cut(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    counts = ranged.groupBy("__range", *keys).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(F.col("__range").alias("__r"), *(F.col(k).alias(f"__{k}") for k in keys), F.coalesce(before, F.lit(0)).alias("__before"))
+    placed = ranged.withColumn("__within", F.row_number().over(Window.partitionBy("__range", *keys).orderBy(*order)))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], F.col("__range") == F.col("__r"))
+    return placed.join(offsets, same).select(*df.columns, (F.col("__within") + F.col("__before")).alias(name))
+
+
 def interleave(df: DataFrame, lanes: list[list[str]], order: list, name: str = "turn") -> DataFrame:
     """Takes turns between lanes. With several levels (inner first) the inner lanes take turns within each outer one, then the outer
     ones do. ``turn`` is the round of the outermost lane: sort by it and the lane for the order of the rows."""
     for level, lane in enumerate(lanes):
-        df = df.withColumn(f"{name}_{level}", _place(lane, order))
+        df = spread_places(df, lane, order, f"{name}_{level}")
         order = [F.col(f"{name}_{level}"), *(F.col(c) for c in lane), *order]
     return df.withColumnRenamed(f"{name}_{len(lanes) - 1}", name).drop(*(f"{name}_{k}" for k in range(len(lanes) - 1)))
 

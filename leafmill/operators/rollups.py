@@ -8,19 +8,26 @@ from pyspark.sql import functions as F
 from leafmill.functions.names import source_key
 
 
+def once(pages: DataFrame, columns: list[str]) -> DataFrame:
+    """Each page (doc_id, page_no) once, in its delivery of the smallest id. Pages are fine enough keys not to be skewed, and are combined before the shuffle."""
+    return pages.select("doc_id", "page_no", "id", *columns).groupBy("doc_id", "page_no").agg(F.min_by(F.struct(*columns), "id").alias("x")).select("doc_id", "page_no", "x.*")
+
+
 def page_rollup(pages: DataFrame) -> DataFrame:
-    """Per document the pages that are scans, forms and rotated; a null flag isn't counted."""
+    """Per document the pages that are scans, forms and rotated, whatever number of times they were delivered; a null flag isn't counted."""
     n = lambda c: F.count_if(F.expr(c))
-    return pages.groupBy("doc_id").agg(n("not has_text_layer or covered_by_one_image").alias("scanned"), n("n_widgets > 0").alias("forms"), n("rotation <> 0 or (text_angle is not null and text_angle <> 0)").alias("rotated"))
+    return once(pages, ["has_text_layer", "covered_by_one_image", "n_widgets", "rotation", "text_angle"]).groupBy("doc_id").agg(n("not has_text_layer or covered_by_one_image").alias("scanned"), n("n_widgets > 0").alias("forms"), n("rotation <> 0 or (text_angle is not null and text_angle <> 0)").alias("rotated"))
 
 
 def document_density(density: DataFrame, least: float = 0.33) -> DataFrame:
-    """Per document its measured, opaque and dense pages. The share of dense pages is over judged pages only; a document is
+    """Per document its measured, opaque and dense pages. Of a page that was measured more than once every flag counts that was set once, and the largest numbers. The share of dense pages is over judged pages only; a document is
     dense from ``least`` on, on the unrounded share; one without a judged page is undecided, hence not dense."""
     measurable = F.expr("coalesce(table_measurable, false) or coalesce(chart_measurable, false)")
     dense = F.expr("coalesce(is_table_page, false) or coalesce(is_chart_page, false)")
     n = lambda c: F.count_if(F.expr(c) if isinstance(c, str) else c)
-    out = density.groupBy("doc_id").agg(
+    flags = ["table_measurable", "chart_measurable", "is_table_page", "is_chart_page", "possible_raster_figure"]
+    pages = density.groupBy("doc_id", "page_no").agg(*(F.bool_or(c).alias(c) for c in flags), *(F.max(c).alias(c) for c in ("max_table_cells", "n_borderless_tables")))
+    out = pages.groupBy("doc_id").agg(
         F.count("*").alias("pages_measured"),
         n(~measurable).alias("pages_opaque"),
         n("is_table_page").alias("table_pages"),

@@ -6,34 +6,37 @@ of at most ``fan_in`` states each, so that no task receives all partial states o
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def expected_chunks(df: DataFrame) -> int:
+    """How many partitions df may have, from the planner's estimate of its size; nothing is run for it."""
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return min(1 << 20, max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, -(-size // split)))
+
+
 def tree_aggregate(df: DataFrame, keys: list[str], measures: dict[str, tuple[str, Column]], fan_in: int = 32, chunks: int | None = None) -> DataFrame:
     """Totals of df per key.
 
     measures: name -> (kind, column), kind being "sum", "count" (rows in which the column isn't null), "min" or "max".
-    The number of rounds is the logarithm of the number of chunks to the base fan_in; sums of integers are exact in
+    Every round groups by key and by the number of the ``fan_in`` states that meet in it; the state of a chunk is what is combined before the first shuffle. The number of
+    rounds is the logarithm of the number of chunks (by default :func:`expected_chunks`; should there be more, more of them meet in the first round) to the base fan_in; sums of integers are exact in
     whatever order they meet. Null keys form a group, nulls in a measure don't count, a sum over nothing is null; an empty
     table has no groups. Columns other than keys and measures are ignored, whatever their names.
     """
-    chunks = chunks or max(1, df.rdd.getNumPartitions())
+    chunks = chunks or expected_chunks(df)
     first = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
     again = first | {"count": F.sum}
-    state = df.select(*keys, *(c.alias(name) for name, (_, c) in measures.items()), F.pmod(F.spark_partition_id(), F.lit(chunks)).alias("__chunk"))
-    rounds = max(0, math.ceil(math.log(chunks, fan_in) - 1e-9)) if chunks > 1 else 0
-    step, width = first, chunks
-    for _ in range(max(0, rounds)):
-        by = [*keys, "__chunk"] if width > 1 else keys
-        state = state.groupBy(*by).agg(*(step[kind](F.col(name)).alias(name) for name, (kind, _) in measures.items()))
-        width = math.ceil(width / fan_in)
-        state = state.withColumn("__chunk", F.floor(F.col("__chunk") / fan_in).cast("int")) if width > 1 else state.drop("__chunk")
-        step = again
-        if width == 1:
-            break
+    width = -(-chunks // fan_in)
+    state = df.select(*keys, *(c.alias(name) for name, (_, c) in measures.items()), F.floor(F.pmod(F.spark_partition_id(), F.lit(chunks)) / fan_in).cast("int").alias("__chunk"))
+    step = first
+    while width > 1:
+        state = state.groupBy(*keys, "__chunk").agg(*(step[kind](F.col(name)).alias(name) for name, (kind, _) in measures.items()))
+        state = state.withColumn("__chunk", F.floor(F.col("__chunk") / fan_in).cast("int"))
+        width, step = -(-width // fan_in), again
     return state.groupBy(*keys).agg(*(step[kind](F.col(name)).alias(name) for name, (kind, _) in measures.items()))
 
 

@@ -22,12 +22,15 @@ DENSITY = """
                count(*) filter (not coalesce(chart_measurable, false)) as chart_blind_pages, count(*) filter (m and dense) as dense_pages,
                count(*) filter (possible_raster_figure) as raster_figure_pages, coalesce(max(max_table_cells), 0) as max_table_cells,
                count(*) filter (n_borderless_tables > 0) as borderless_pages
-        from (select *, coalesce(table_measurable, false) or coalesce(chart_measurable, false) as m, coalesce(is_table_page, false) or coalesce(is_chart_page, false) as dense from page_density)
+        from (select *, coalesce(table_measurable, false) or coalesce(chart_measurable, false) as m, coalesce(is_table_page, false) or coalesce(is_chart_page, false) as dense
+              from (select doc_id, page_no, bool_or(table_measurable) as table_measurable, bool_or(chart_measurable) as chart_measurable, bool_or(is_table_page) as is_table_page, bool_or(is_chart_page) as is_chart_page,
+                           bool_or(possible_raster_figure) as possible_raster_figure, max(max_table_cells) as max_table_cells, max(n_borderless_tables) as n_borderless_tables from page_density group by doc_id, page_no))
         group by doc_id)"""
-ROLLUP = """
+ONCE = "(select * from (select *, row_number() over (partition by doc_id, page_no order by id) as delivery from pages) where delivery = 1)"
+ROLLUP = f"""
     rollup_ as (
         select doc_id, count(*) filter (not has_text_layer or covered_by_one_image) as scanned, count(*) filter (n_widgets > 0) as forms,
-               count(*) filter (rotation <> 0 or (text_angle is not null and text_angle <> 0)) as rotated from pages group by doc_id)"""
+               count(*) filter (rotation <> 0 or (text_angle is not null and text_angle <> 0)) as rotated from {ONCE} group by doc_id)"""
 
 
 def query(sql: str | None = None):
@@ -64,13 +67,14 @@ def page_rollup(spark: SparkSession, d: str) -> DataFrame:
     return rollups.page_rollup(table(spark, d, "pages"))
 
 
-@query("""
+@query(f"""
     select 'pdf_' || coalesce(status, 'null') as measure, count(*) as n from pdf_documents group by 1
     union all select * from (select unnest(['pages', 'text_layer', 'covered', 'form', 'rotated', 'rendered']) as measure,
-        unnest([count(*), count(*) filter (has_text_layer), count(*) filter (covered_by_one_image), count(*) filter (n_widgets > 0), count(*) filter (rotation <> 0 or text_angle <> 0), count(render_sha256)]) as n from pages)""")
+        unnest([count(*), count(*) filter (has_text_layer), count(*) filter (covered_by_one_image), count(*) filter (n_widgets > 0), count(*) filter (rotation <> 0 or text_angle <> 0), count(render_sha256)]) as n from {ONCE})""")
 def preprocess_summary(spark: SparkSession, d: str) -> DataFrame:
     status = table(spark, d, "pdf_documents").groupBy(F.concat(F.lit("pdf_"), F.coalesce("status", F.lit("null"))).alias("measure")).agg(F.count("*").alias("n"))
-    one = table(spark, d, "pages").agg(F.count("*").alias("pages"), _n("has_text_layer").alias("text_layer"), _n("covered_by_one_image").alias("covered"), _n("n_widgets > 0").alias("form"), _n("rotation <> 0 or text_angle <> 0").alias("rotated"), F.count("render_sha256").alias("rendered"))
+    once = rollups.once(table(spark, d, "pages"), ["has_text_layer", "covered_by_one_image", "n_widgets", "rotation", "text_angle", "render_sha256"])
+    one = once.agg(F.count("*").alias("pages"), _n("has_text_layer").alias("text_layer"), _n("covered_by_one_image").alias("covered"), _n("n_widgets > 0").alias("form"), _n("rotation <> 0 or text_angle <> 0").alias("rotated"), F.count("render_sha256").alias("rendered"))
     return status.unionByName(one.unpivot([], one.columns, "measure", "n"))
 
 
@@ -227,19 +231,19 @@ def kinds_by_source(spark: SparkSession, d: str) -> DataFrame:
     return joined.groupBy("source").agg(F.nullif(F.array_join(F.array_sort(F.collect_set("kind")), ","), F.lit("")).alias("kinds"))
 
 
-@query("""with a as (select doc_id, text_angle, sum(text_chars)::bigint as chars, min(page_no) as first_page from pages where text_angle is not null group by 1, 2)
+@query(f"""with a as (select doc_id, text_angle, sum(text_chars)::bigint as chars, min(page_no) as first_page from {ONCE} where text_angle is not null group by 1, 2)
     select doc_id, text_angle, chars from (select *, row_number() over (partition by doc_id order by chars desc nulls last, first_page, text_angle) as k from a) where k = 1""")
 def weighted_mode(spark: SparkSession, d: str) -> DataFrame:
     """The text angle that holds most characters of a document; ties go to the angle seen first."""
-    angles = table(spark, d, "pages").filter("text_angle is not null").groupBy("doc_id", "text_angle").agg(F.sum("text_chars").alias("chars"), F.min("page_no").alias("first_page"))
+    angles = rollups.once(table(spark, d, "pages"), ["text_angle", "text_chars"]).filter("text_angle is not null").groupBy("doc_id", "text_angle").agg(F.sum("text_chars").alias("chars"), F.min("page_no").alias("first_page"))
     best = F.max_by(F.struct("text_angle", "chars"), F.struct(F.coalesce("chars", F.lit(-1)), -F.col("first_page"), -F.col("text_angle")))
     return angles.groupBy("doc_id").agg(best.alias("b")).select("doc_id", "b.*")
 
 
-@query("select doc_id, count(*) as pages, coalesce(round(stddev_pop(width_pt::double) / nullif(avg(width_pt::double), 0), 4), -1) as variation from pages group by doc_id")
+@query(f"select doc_id, count(*) as pages, coalesce(round(stddev_pop(width_pt::double) / nullif(avg(width_pt::double), 0), 4), -1) as variation from {ONCE} group by doc_id")
 def width_variation(spark: SparkSession, d: str) -> DataFrame:
     w = F.col("width_pt").cast("double")
-    return table(spark, d, "pages").groupBy("doc_id").agg(F.count("*").alias("pages"), F.coalesce(F.round(F.try_divide(F.stddev_pop(w), F.avg(w)), 4), F.lit(-1)).alias("variation"))
+    return rollups.once(table(spark, d, "pages"), ["width_pt"]).groupBy("doc_id").agg(F.count("*").alias("pages"), F.coalesce(F.round(F.try_divide(F.stddev_pop(w), F.avg(w)), 4), F.lit(-1)).alias("variation"))
 
 
 @query(f"select {KEY} as source, count(*) as docs, coalesce(sum(n_pages), 0)::bigint as pages from documents d left join pdf_documents p using (doc_id) where d.status = 'stored' group by 1")
@@ -275,7 +279,10 @@ def best_two_per_document(spark: SparkSession, d: str) -> DataFrame:
     return _candidates(spark, d).withColumn("k", place).filter("k <= 2").select("doc_id", "page_no")
 
 
-@query(f"""select source, list(doc_id order by doc_id) as doc_ids from (select {KEY} as source, doc_id from documents where status in ('failed', 'skipped')) group by source""")
+@query(f"""with {_CANDIDATES}, two as (select doc_id, page_no from (select *, row_number() over (partition by doc_id order by score desc, page_no) as k from score) where k <= 2)
+    select nullif(regexp_extract(lower(sha256), '[0-9a-f]{{64}}'), '') as sha, list_sort(list(distinct page_no)) as pages from two join documents using (doc_id) where nullif(regexp_extract(lower(sha256), '[0-9a-f]{{64}}'), '') is not null group by 1""")
 def selected_map(spark: SparkSession, d: str) -> DataFrame:
-    x = table(spark, d, "documents").filter("status in ('failed', 'skipped')").select(source_key(F.col("source")).alias("source"), "doc_id")
-    return x.groupBy("source").agg(F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))
+    """The selected pages (the best two of each document) by content: different pages in order, so that copies of a content don't lengthen the list."""
+    sha = F.nullif(F.regexp_extract(F.lower("sha256"), "[0-9a-f]{64}", 0), F.lit(""))
+    docs = table(spark, d, "documents").select("doc_id", sha.alias("sha")).filter("sha is not null")
+    return best_two_per_document(spark, d).join(docs, "doc_id").groupBy("sha").agg(F.array_sort(F.collect_set("page_no")).alias("pages"))

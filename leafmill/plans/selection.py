@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions import dates, text
+from leafmill.functions.language import Languages
 from leafmill.functions.names import host, source_key
 from leafmill.functions.pages import even_pages
 from leafmill.operators import attempts, matching, ranking
@@ -51,18 +52,18 @@ def cap_per_domain(spark: SparkSession, d: str) -> DataFrame:
     return ranking.cap(_docs(spark, d).select("doc_id", "domain", "discovered_at"), ["domain"], [F.asc_nulls_last("discovered_at"), F.col("doc_id")], 5).select("doc_id")
 
 
-@query(f"select doc_id, source, row_number() over (partition by source order by discovered_at, doc_id) as turn from (select doc_id, {KEY} as source, discovered_at from documents where status <> 'stored')")
+@query(f"select doc_id, source, row_number() over (partition by source order by discovered_at, doc_id) as turn from (select doc_id, {KEY} as source, discovered_at from documents)")
 def round_robin_interleave(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that aren't stored, in turns between sources."""
-    rows = _docs(spark, d).filter("status <> 'stored'").select("doc_id", "source", "discovered_at")
+    """All documents, in turns between sources."""
+    rows = _docs(spark, d).select("doc_id", "source", "discovered_at")
     return ranking.interleave(rows, [["source"]], [F.asc_nulls_last("discovered_at"), F.col("doc_id")]).select("doc_id", "source", "turn")
 
 
-@query(f"""with a as (select doc_id, {KEY} as source, discovery_query as name, row_number() over (partition by {KEY}, discovery_query order by doc_id) as t from documents where discovery_query is not null and status <> 'stored')
+@query(f"""with a as (select doc_id, {KEY} as source, discovery_query as name, row_number() over (partition by {KEY}, discovery_query order by doc_id) as t from documents where discovery_query is not null)
     select doc_id, row_number() over (partition by source order by t, source, name, doc_id) as turn from a""")
 def two_level_interleave(spark: SparkSession, d: str) -> DataFrame:
     """The queries of a source take turns, then the sources do."""
-    rows = _docs(spark, d).filter("discovery_query is not null and status <> 'stored'").select("doc_id", "source", "discovery_query")
+    rows = _docs(spark, d).filter("discovery_query is not null").select("doc_id", "source", "discovery_query")
     return ranking.interleave(rows, [["source", "discovery_query"], ["source"]], [F.col("doc_id")]).select("doc_id", "turn")
 
 
@@ -85,11 +86,20 @@ def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(Window.partitionBy("source").orderBy("order"))).filter("place <= 20").select("doc_id", "place")
 
 
-@query()
+@query(f"""with recursive d as (select doc_id, {KEY} as source from documents where status = 'stored'),
+    c as (select source, count(*) as n, row_number() over (order by source nulls first) as i from d group by source), k as (select count(*) as k, sum(n) // 2 as total from c),
+    a(i, source, n, quota, rest) as (
+        select i, source, n, least(n, ceil(total::double / k)::bigint), total - least(n, ceil(total::double / k)::bigint) from c, k where i = 1
+        union all select c.i, c.source, c.n, least(c.n, ceil(greatest(rest, 0)::double / (k - a.i))::bigint), rest - least(c.n, ceil(greatest(rest, 0)::double / (k - a.i))::bigint) from a join c on c.i = a.i + 1, k),
+    b as (select *, coalesce(sum(n - quota) over (order by i rows between unbounded preceding and 1 preceding), 0) as before, (select rest from a order by i desc limit 1) as rest_all from a),
+    q as (select source, quota + least(n - quota, greatest(rest_all - before, 0)) as quota from b)
+    select r.source, doc_id from (select *, row_number() over (partition by source order by doc_id) as p from d) r join q on q.source is not distinct from r.source where p <= quota""")
 def quota_split(spark: SparkSession, d: str) -> DataFrame:
     """Half of the stored documents, split evenly over sources as far as they have any; those without source are one source."""
     rows = _docs(spark, d).filter("status = 'stored'").select("doc_id", "source")
-    counts = rows.groupBy("source").count().orderBy("source").limit(10_000).collect()
+    counts = rows.groupBy("source").count().orderBy("source").limit(10_001).collect()
+    if len(counts) > 10_000:
+        raise ValueError("more than 10,000 sources")
     quotas = ranking.split_quota([r["count"] for r in counts], sum(r["count"] for r in counts) // 2)
     return ranking.take_quotas(rows, "source", dict(zip([r["source"] for r in counts], quotas)), [F.col("doc_id")])
 
@@ -168,13 +178,33 @@ def numeric_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(text.is_numeric(F.col("line"))).alias("numeric"))
 
 
-@query(r"select doc_id, len(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{024F}]')) as latin, len(regexp_extract_all(coalesce(text, ''), '[\x{0370}-\x{03FF}]')) as greek from documents")
-def script_counts(spark: SparkSession, d: str) -> DataFrame:
-    n = text.script_counts(F.col("text"))
-    return table(spark, d, "documents").select("doc_id", n["latin"].alias("latin"), n["greek"].alias("greek"))
+_RANGES = {"ar": (0x600, 0x6FF), "cjk": (0x4E00, 0x9FFF), "ja": (0x3040, 0x30FF), "ko": (0xAC00, 0xD7AF), "el": (0x370, 0x3FF), "cy": (0x400, 0x4FF), "hi": (0x900, 0x97F), "he": (0x590, 0x5FF), "th": (0xE00, 0xE7F)}
+_SCRIPT = "case when l = '' then 'none' " + " ".join(f"when len(regexp_extract_all(l, '[\\x{{{a:04X}}}-\\x{{{b:04X}}}]')) > 0.3 * length(l) then '{k}'" for k, (a, b) in _RANGES.items()) + " else 'latin' end"
+
+
+@query(rf"with l as (select doc_id, regexp_replace(coalesce(text, ''), '[^\pL]+', '', 'g') as l from documents) select doc_id, {_SCRIPT} as script from l")
+def scripts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", text.script(F.col("text")).alias("script"))
 
 
 @query()
+def languages(spark: SparkSession, d: str) -> DataFrame:
+    """The language of every text, by a model fitted to a bounded number of documents whose language is known."""
+    docs = table(spark, d, "documents")
+    code = F.lower(F.trim("lang"))
+    known = docs.select("text", F.when(code.isin("en", "eng"), "en").when(code.isin("fr", "fra", "fre"), "fr").when(code.isin("de", "deu", "ger"), "de").when(code.isin("es", "spa"), "es").alias("lang"))
+    return docs.select("doc_id", Languages.fit(known).detect(F.col("text")).alias("lang"))
+
+
+_WORDS = r"len(list_filter(regexp_split_to_array(x, '[ \t\n\x0B\f\r]+'), lambda w: w <> ''))"
+
+
+@query(rf"""with t as (select doc_id, coalesce(text, '') as t, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x) <> '') as l from documents),
+    s as (select doc_id, len(l) as n, len(regexp_extract_all(t, '_{{3,}}|\.{{6,}}|…{{2,}}')) as fills, len(regexp_extract_all(t, '[☐☑☒□■▢◻◼○●]|\[[ \t\n\x0B\f\r]?\]|\([ \t\n\x0B\f\r]?\)')) as boxes,
+        len(list_distinct(list_transform(regexp_extract_all(t, '(?i)\b(?:signature|date signed|print name|name of|address|city|state|zip|telephone|phone|ssn|social security|ein|employer identification|omb no|form [a-z]?-?\d|part [ivx]+\b|section [a-z\d]\b|check (?:one|all|the box|if)|yes\s+no|for office use|applicant|signature of|title|amount|total)\b'), lambda x: lower(x)))) as phrases,
+        len(list_filter(l, lambda x: regexp_matches(x, '^[ \t\n\x0B\f\r]*[A-Z][A-Za-z /&().''-]{{1,40}}:[ \t\n\x0B\f\r]*$'))) as labels,
+        coalesce(list_sum(list_transform(l, lambda x: case when {_WORDS} <= 4 then 0.8::double when {_WORDS} >= 14 then -1.2::double else 0::double end)), 0) as lines from t)
+    select doc_id, case when n = 0 then 0 else round(least(fills, 20) * 0.08::double + least(boxes, 20) * 0.06::double + least(phrases, 15) * 0.09::double + least(labels, 20) * 0.04::double + lines / n, 3) end as score from s""")
 def form_score(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.round(text.form_score(F.col("text")), 3).alias("score"))
 
@@ -240,14 +270,16 @@ def quarters_begun(spark: SparkSession, d: str) -> DataFrame:
     return dates.quarters_begun(spark, 2019, "2025-05-01")
 
 
-@query()
+@query("""with recursive c as (select discovered_at::date as day, count(*) as n from documents where discovered_at is not null group by 1), most as (select greatest(sum(n) // 10, 1) as most from c),
+    w(low, high, n) as (select min(day), max(day), sum(n)::bigint from c
+        union all select h.low, h.high, (select coalesce(sum(c.n), 0)::bigint from c where c.day between h.low and h.high) from
+            (select unnest([low, low + ((high - low) // 2 + 1)::int]) as low, unnest([low + ((high - low) // 2)::int, high]) as high from w, most where n > most and low < high) h)
+    select low, high, n from w, most where n <= most or low = high""")
 def bisected_windows(spark: SparkSession, d: str) -> DataFrame:
     """Windows of discovery days that hold at most a tenth of the documents each."""
     docs = table(spark, d, "documents").filter("discovered_at is not null")
     counts = docs.groupBy(F.to_date("discovered_at").alias("day")).agg(F.count("*").alias("n"))
-    rows = counts.limit(100_000).collect()
-    spark.createDataFrame(rows, counts.schema).createOrReplaceTempView("leafmill_days")
-    return dates.bisected(spark, "leafmill_days", max(1, sum(r["n"] for r in rows) // 10)) if rows else counts.selectExpr("day as low", "day as high", "n")
+    return dates.bisected(counts, 0.1)
 
 
 @query("""select l_returnflag, l_linestatus, count(*) as n, round(sum(l_quantity), 2) as quantity, round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue from lineitem where l_shipdate <= timestamp '1998-09-02' group by 1, 2""")

@@ -170,3 +170,43 @@ def test_gates_and_plans(spark):
     assert [r["v"] for r in df.filter(gates.within(F.col("v"), 2, 10)).collect()] == [5, None]
     plan = [{"source": "a", "name": "x", "kwargs": {"years": "2020", "q": 1}}, {"source": "z", "name": "y", "kwargs": None}]
     assert gates.plan_errors(plan, {"a": {"years"}}) == ["a/x: years must be a list", "a/x: no option q", "z/y: no such source"]
+
+
+def test_building_a_tree_starts_no_job(spark, data):
+    from leafmill.plans import heavy
+    from leafmill.storage import table
+
+    def jobs(name, build):
+        spark.sparkContext.setJobGroup(name, "")
+        build()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    assert jobs("tree", lambda: heavy.p3_page_totals(spark, data)) == jobs("read", lambda: table(spark, data, "pages"))
+
+
+def test_spread_places_are_those_of_one_window(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(3000).select("id", F.when(F.col("id") % 9 < 7, "big").when(F.col("id") % 9 == 7, None).otherwise("x").alias("k"), F.pmod(F.xxhash64("id"), F.lit(50)).alias("o"))
+    for x in (df, df.limit(0)):
+        want = x.withColumn("place", F.row_number().over(Window.partitionBy("k").orderBy("o", "id")))
+        assert sorted(ranking.spread_places(x, ["k"], [F.col("o"), F.col("id")]).collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_scripts_of_samples(spark):
+    rows = [("plain text", "latin"), ("", "none"), (None, "none"), ("123 ...", "none"), ("слово и дело", "cy"), ("漢字 text", "cjk"), ("abc " * 9 + "漢", "latin"), ("ひらがな漢", "ja"), ("한국어", "ko"), ("λόγος", "el"), ("हिन्दी", "hi"), ("עברית", "he"), ("ภาษาไทย", "th"), ("العربية", "ar")]
+    df = spark.createDataFrame(rows, "t string, want string")
+    assert [(r["t"], r["s"]) for r in df.filter(text.script(F.col("t")) != F.col("want")).select("t", text.script(F.col("t")).alias("s")).collect()] == []
+
+
+def test_languages_on_held_out_documents(spark, data):
+    from leafmill.functions.language import Languages
+    from leafmill.storage import table
+
+    docs = table(spark, data.replace("sf0.001", "sf0.01"), "documents").filter("lang in ('en', 'fr', 'de', 'es') and length(text) > 100")
+    model = Languages.fit(docs.filter("doc_id % 2 = 0").select("text", "lang"))
+    rows = docs.filter("doc_id % 2 = 1").select("lang", model.detect(F.col("text")).alias("found")).collect()
+    assert sum(r["lang"] == r["found"] for r in rows) >= 0.97 * len(rows)
+    odd = spark.createDataFrame([(None,), ("",), ("x",), ("漢字漢字",), ("ภาษาไทย",)], "t string").select(model.detect(F.col("t")).alias("l"))
+    assert [r["l"] for r in odd.collect()] == ["und", "und", "und", "zh", "th"]

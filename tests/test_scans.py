@@ -29,15 +29,6 @@ def test_merged_and_latest(spark, tmp_path):
     assert {r["run"]: r["state"] for r in scans.latest(log, ["run"], ["seq"]).collect()} == {1: "closed", 2: "open"}
 
 
-def test_languages(spark, data):
-    docs = table(spark, data, "documents").filter("n_chars > 400 and lang is not null and lang <> 'und'").select(F.lower(F.substring("lang", 1, 2)).alias("lang"), text.language(F.col("text")).alias("found"))
-    docs = docs.withColumn("lang", F.when(F.col("lang") == "sp", "es").otherwise(F.col("lang")))
-    n = docs.count()
-    assert docs.filter("lang = found").count() >= 0.95 * n > 0
-    odd = spark.createDataFrame([("",), (None,), ("统计年鉴与表格",), ("xyz",)], "t string").select(text.language(F.col("t")).alias("l"))
-    assert [r["l"] for r in odd.collect()] == ["und", "und", "zh", "und"]
-
-
 def test_ink(spark):
     df = spark.createDataFrame([(bytearray([0, 255, 255, 199]),), (None,), (bytearray(),)], "b binary")
     assert [r[0] for r in df.select(geometry.ink_share("b")).collect()] == [0.5, None, None]
