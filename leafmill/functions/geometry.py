@@ -204,6 +204,33 @@ def is_complex_table(t: Column) -> Column:
     return (t.n_rows * t.n_cols >= COMPLEX_CELLS) | (t.n_cols >= COMPLEX_COLS) | spanned | (t.borderless & (t.n_rows >= COMPLEX_ROWS_BORDERLESS))
 
 
+def is_ruled_table(t: Column) -> Column:
+    """A table drawn with rules: at least two rows and columns, unless it is a small box of prose."""
+    return (t.n_rows >= 2) & (t.n_cols >= 2) & ~((t.n_rows < MIN_ROWS) & (t.n_cols < MIN_COLS) & (t.mean_cell_chars > MAX_MEAN_CHARS))
+
+
+def is_spanned(cells: Column, header: Column) -> Column:
+    """Whether cells are merged: a missing cell (null), or a header that names some but not all of the columns."""
+    named = F.size(F.filter(F.coalesce(header, F.array().cast("array<string>")), lambda x: F.trim(F.coalesce(x, F.lit(""))) != ""))
+    widest = F.coalesce(F.array_max(F.transform(cells, lambda r: F.size(r))), F.lit(0))
+    return F.exists(cells, lambda r: F.exists(r, lambda c: c.isNull())) | ((named > 0) & (named < widest))
+
+
+def density_row(tables: Column, charts: Column) -> Column:
+    """The measures of a page from its tables (n_rows, n_cols, complex, borderless, spanned) and charts (kind)."""
+    n = lambda f: F.size(F.filter(tables, f))
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform(charts, lambda c: c.kind))), ",")
+    return F.struct(
+        F.size(tables).alias("n_tables"),
+        n(lambda t: t.complex).alias("n_complex_tables"),
+        n(lambda t: t.borderless).alias("n_borderless_tables"),
+        n(lambda t: t.spanned).alias("n_spanned_tables"),
+        F.coalesce(F.array_max(F.transform(tables, lambda t: t.n_rows * t.n_cols)), F.lit(0)).alias("max_table_cells"),
+        F.size(charts).alias("n_charts"),
+        F.nullif(kinds, F.lit("")).alias("chart_kinds"),
+    )
+
+
 def _inner(a: Column, b: Column) -> Column:
     side = lambda lo, hi: F.greatest(F.lit(0.0), F.least(a[hi], b[hi]) - F.greatest(a[lo], b[lo]))
     return side("x0", "x1") * side("y0", "y1")

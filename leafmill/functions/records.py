@@ -88,6 +88,63 @@ def fetch_outcome(status: Column, content_type: Column, refused: Column) -> Colu
     )
 
 
+def bare(text: Column) -> Column:
+    """Lower-case ASCII letters and digits only."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", "")
+
+
+def shard_path(root: str, sha: Column, suffix: str = "pdf") -> Column:
+    """Where a content lies: two folders of two digits of its hash."""
+    return F.concat(F.lit(f"{root}/"), F.substring(sha, 1, 2), F.lit("/"), F.substring(sha, 3, 2), F.lit("/"), sha, F.lit(f".{suffix}"))
+
+
+def is_pdf(head: Column) -> Column:
+    """Whether a content (its first 1,024 bytes are looked at) begins as a PDF, after white space; null isn't one."""
+    return F.coalesce(F.decode(F.substring(head, 1, 1024), "ISO-8859-1").rlike(r"^\s*%PDF-"), F.lit(False))
+
+
+def clamped_pages(pages: Column, n_pages: Column) -> Column:
+    """Selected pages once each, in order, within 1 to the number of pages."""
+    return F.array_sort(F.array_distinct(F.filter(pages, lambda p: (p >= 1) & (p <= n_pages))))
+
+
+#: The fields of ``extra`` that make a title, by source; all that are filled are joined, for the last three the first one is taken.
+TITLE_FIELDS = {"edinet": ["filer_name", "doc_description"], "sec_edgar": ["company_name", "form_type", "filing_date"], "municipal_acfr": ["entity", "entity_type", "fiscal_year"], "bis": ["institution", "series", "doc_id"]}
+FIRST_FIELD = {"courtlistener": ["case_name", "description"], "govdocs1": ["zip_member"], "safedocs_ccmain": ["file_name"]}
+OTHER_FIELDS = ["title", "search_title"]
+
+
+def title_of(source: Column, extra: Column, source_id: Column, most: int = 160) -> Column:
+    """The line by which a document is told in a list: from the fields of its source, else its id there; at most ``most`` characters."""
+    filled = lambda names: [F.nullif(F.get_json_object(extra, f"$.{n}"), F.lit("")) for n in names]
+    out = F.when(F.lit(False), F.lit(""))
+    for name, fields in TITLE_FIELDS.items():
+        out = out.when(source == name, F.concat_ws(" · ", *filled(fields)))
+    for name, fields in FIRST_FIELD.items():
+        out = out.when(source == name, F.coalesce(*filled(fields), F.lit("")))
+    return F.substring(F.coalesce(F.nullif(out.otherwise(F.coalesce(*filled(OTHER_FIELDS), F.lit(""))), F.lit("")), source_id), 1, most)
+
+
+# What differs by source in what an answer means. Marked bodies are refusals (or, of un_digital_library, challenges); "strict" sources take an answer that is no PDF
+# for permanent whatever its status, "body" ones have the status in the body, "second" ones have another address to try after a permanent failure.
+STRICT, IN_BODY, SECOND = ["sec_edgar", "municipal_acfr", "un_digital_library"], ["edinet"], ["eurlex", "fraser"]
+
+
+def outcome_of(source: Column, status: Column, content_type: Column, refused: Column, body_status: Column) -> Column:
+    """ok, transient, permanent or second (try the other address), by the rules of the source."""
+    pdf = F.lower(F.coalesce(content_type, F.lit(""))).contains("pdf")
+    shared = fetch_outcome(status, content_type, refused)
+    marked = F.coalesce(refused, F.lit(False))
+    return (
+        F.when((source == "un_digital_library") & (status == 202), F.when(marked, "transient").otherwise("permanent"))
+        .when(source.isin(STRICT) & (status == 200) & ~pdf & ~marked, "permanent")
+        .when(source.isin(IN_BODY) & (status == 200) & ~pdf, F.when(body_status.isin(400, 404), "permanent").otherwise("transient"))
+        .when((source == "state_bills") & (status == 404), "permanent")
+        .when(source.isin(SECOND) & (shared == "permanent"), "second")
+        .otherwise(shared)
+    )
+
+
 @pandas_udf(StringType())
 def nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))

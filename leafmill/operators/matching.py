@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.functions.records import bare
 from leafmill.functions.text import shingles
 
 
@@ -40,3 +41,16 @@ def shingle_overlap(texts: DataFrame, bench: DataFrame, least: int = 20, thresho
     a, b = side(texts, "doc_id", "n_doc"), side(bench, "item_id", "n_item")
     both = a.join(b, "run").groupBy("doc_id", "item_id", "n_doc", "n_item").agg(F.count("*").alias("shared"))
     return both.filter(F.col("shared") >= threshold * F.least("n_doc", "n_item")).select("doc_id", "item_id", "shared")
+
+
+def either_prefix(df: DataFrame, column: str, ids: DataFrame, least: int = 4) -> DataFrame:
+    """Rows of df of which the bare column (letters and digits) is a prefix of a bare id or the other way round, both of at least ``least`` characters. ids: one column.
+    The prefixes of each side are made and joined as equal, so no pair is tried."""
+    key = F.col("__bare")
+    own = df.withColumn("__bare", bare(F.col(column))).filter(F.length(key) >= least)
+    other = ids.select(bare(F.col(ids.columns[0])).alias("__bare")).filter(F.length(key) >= least).distinct()
+    starts = lambda x: F.explode(F.transform(F.sequence(F.lit(least), F.length(x)), lambda n: F.substring(x, 1, n)))
+    longer = other.select(starts(key).alias("__bare")).distinct()  # the column is a prefix of an id
+    mine = own.select("__bare").distinct()
+    shorter = mine.select("__bare", starts(key).alias("__start")).join(other.withColumnRenamed("__bare", "__start"), "__start").select("__bare").distinct()
+    return own.join(longer.unionByName(shorter).distinct(), "__bare", "left_semi").drop("__bare")

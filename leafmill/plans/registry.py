@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ["heavy", "catalogue", "selection", "review"]
+_MODULES = ["heavy", "catalogue", "selection", "review", "rules"]
 
 
 def _all(name: str) -> dict:
