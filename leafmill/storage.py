@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -64,3 +65,10 @@ class Shelf:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle and checkpoint files that nothing refers to any more. It does so when the driver's memory is collected, which
+    may be long after a step of a loop is over."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
