@@ -263,6 +263,46 @@ def test_day_by_day_in_two_sessions(spark, tmp_path):
     assert len(index.segments) < 4 and len(orders) > 1 and max(s["bits"] for s in index.segments) > 0
 
 
+def test_arrays_are_not_there_twice_in_a_new_order(spark, tmp_path, monkeypatch):
+    """While the order is measured anew the arrays before it are gone, and a run that ends in the middle of that loses nothing."""
+    rows = sorted((r for r in fixture(120, 5) if r[0] is not None and r[1] is not None), key=lambda r: r[1])
+    df = day_frame(spark, rows).select("doc_id", F.unix_micros("discovered_at").alias("ts"), history.clean_sha(F.col("sha256")).alias("sha"), "text").filter("length(text) > 0")
+    stamps = [r[1].timestamp() * 1e6 for r in rows]
+    edges, path, ended = [0, stamps[6], stamps[25], stamps[60], stamps[-1]], f"file://{tmp_path}/index", []
+    anew = history.HistoryIndex._anew
+
+    def once(self, *args):
+        ended.append([x.name for x in (tmp_path / "index").iterdir() if x.name.startswith("segment-")])
+        if len(ended) == 1:
+            raise InterruptedError
+        return anew(self, *args)
+
+    monkeypatch.setattr(history.HistoryIndex, "_anew", once)
+    index = history.HistoryIndex(spark, path=path, fan_in=2, regrow=2, **SMALL)
+    for low, high in zip(edges, edges[1:]):
+        try:
+            index.add(df.filter((F.col("ts") > low) & (F.col("ts") <= high)))
+        except InterruptedError:
+            index = history.HistoryIndex.open(spark, path)
+    assert len(ended) > 1 and not any(ended)
+    assert {(r["doc_id"], r["partner"]) for r in index.rejected().collect()} == brute_force([(i, t.timestamp(), s, x) for i, t, s, x in rows])
+    assert not [x for x in (tmp_path / "index").iterdir() if x.name.startswith("counts-")]
+
+
+def test_suffix_files_are_small_and_read_in_part(tmp_path):
+    rng = np.random.default_rng(3)
+    key = np.sort(rng.integers(0, 1 << 48, 400_000, np.uint64) >> np.uint64(3) << np.uint64(1))
+    own = (np.arange(70_000, dtype=np.uint64), np.ones(70_000, np.int32), key, np.append(np.arange(70_000), rng.integers(0, 70_000, 330_000)).astype(np.uint32), rng.integers(0, 255, len(key)).astype(np.uint8))
+    suffixes.write_suffixes(str(tmp_path), 0, own)
+    assert (tmp_path / "suffixes-0").stat().st_size < 9.5 * len(key) + 12 * 70_000
+    wanted = np.sort(np.concatenate([rng.choice(key, 50), rng.choice(key, 50) + np.uint64(1), [np.uint64(0), np.uint64((1 << 48) - 1)]]))
+    whole, some = suffixes.read_suffixes(str(tmp_path), 0), suffixes.read_suffixes(str(tmp_path), 0, wanted)
+    assert (whole[2] == key).all() and (whole[3] == own[3]).all() and len(some[2]) < len(key) / 20
+    for k in wanted:
+        (a, b), (c, d) = [[np.searchsorted(s[2], k, side) for side in ("left", "right")] for s in (whole, some)]
+        assert (whole[3][a:b] == some[3][c:d]).all() and (whole[4][a:b] == some[4][c:d]).all() and b - a == d - c
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.lists(st.sampled_from("abcd"), min_size=5, max_size=30), min_size=1, max_size=6))
 def test_suffixes_lie_in_order_of_their_words(texts):
